@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate
 from .common import table
+from .decontaminate import contamination
+from .language import identify_language
 from .packing import pack_mixture
+from .quality_classifier import score_quality
+from .quality_rules import judge_quality
+from .secrets import find_secrets
 from .token_file import read_token_segments, write_token_segments
 
 
@@ -21,12 +27,37 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_mixture(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_segments(write_token_segments(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_quality_rules": op2_quality_rules,
     "op3_token_file": op3_token_file,
+    "op4_secrets": op4_secrets,
+    "op5_language": op5_language,
+    "op7_decontamination": op7_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.ORACLE}
