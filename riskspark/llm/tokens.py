@@ -1,100 +1,111 @@
 """Exact, fast use of a byte-level BPE tokenizer on whole texts.
 
-Byte-level BPE cuts a text into pieces by a pattern before it merges bytes, and
-a single space between two non-space characters always starts a piece. So a
-text may be cut there, each distinct part encoded once, and the ids joined:
-the result is that of encoding the whole text.
+Byte-level BPE cuts a text into pieces by a pattern before it merges bytes. A
+single space or line feed between two non-space characters always starts a
+piece, and so does a mark after a letter. So a text may be cut there, each
+distinct part encoded once, and the ids joined: the result is that of encoding
+the whole text. Texts with other white space are cut at fewer places.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import repeat
+from array import array
 
-#: Parts kept in each of the two generations of the cache.
-CACHE_PARTS = 150_000
-#: Characters encoded in one call.
-CALL_CHARS = 20_000
+#: Parts that an encoder remembers.
+CACHE_PARTS = 400_000
+MARKS = frozenset(".,;:!?")
 
-_DOUBLE = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    The cache holds a part under its word if a space stands before it, and under
+    a line feed and its word if a line feed does; what starts a text is apart.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        joined = self.tokenizer.encode(" a\n b", add_special_tokens=False).ids
-        apart = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (" a", " b")]
-        #: The id between joined parts; None if this tokenizer doesn't cut there.
-        self.line = line[0] if len(line) == 1 and joined == apart[0] + line + apart[1] else None
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _direct(self, parts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-
-    def _joined(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that start with a space and have no other white space."""
-        import numpy as np
-
-        out: list[bytes] = []
-        start, size = 0, 0
-        for i, part in enumerate(parts):
-            size += len(part)
-            if size >= CALL_CHARS or i == len(parts) - 1:
-                some = parts[start : i + 1]
-                ids = np.array(self.tokenizer.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
-                ends = np.flatnonzero(ids == self.line).tolist()
-                if len(ends) == len(some) - 1:
-                    raw, marks = ids.tobytes(), [-1, *ends, len(ids)]
-                    out += [raw[4 * (a + 1) : 4 * b] for a, b in zip(marks[:-1], marks[1:], strict=True)]
-                else:
-                    out += self._direct(some)
-                start, size = i + 1, 0
-        return out
-
-    def _learn(self, parts: list[str]) -> None:
-        plain = [x for x in parts if self.line is not None and x[:1] == " " and len(x.split()) == 1 and x.strip() == x[1:]]
-        known = set(plain)
-        rest = [x for x in parts if x not in known]
-        if len(self.new) > CACHE_PARTS:
-            self.old, self.new = self.new, {}
-        self.new.update(zip(plain, self._joined(plain), strict=True))
-        self.new.update(zip(rest, self._direct(rest), strict=True))
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        #: Letters of Latin-1 as the model's vocabulary writes their bytes.
+        self.spelt = {i: bytewise.pre_tokenize_str(chr(i))[0][0] for i in range(256) if chr(i).isalpha()}
+        self.space = bytewise.pre_tokenize_str(" ")[0][0]
+        self.line = self._direct(["\n"])[0]
+        self.marks = {x: self._direct([x])[0] for x in MARKS}
+        #: Whether this tokenizer cuts as described; if not, texts are encoded whole.
+        self.cuts = self._whole("Ab cd, ef\ngh.") == b"".join(map(self._whole, ("Ab", " cd", ",", " ef", "\n", "gh", ".")))
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _direct(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, unknown: set[str]) -> None:
+        """Add the parts to the cache."""
+        parts, merge = self.parts, self.tokenizer.model.tokenize
+        marked, rest = [], []
+
+        def word(part: str) -> None:
+            # A word of letters is one piece, so the model's merges alone give its ids.
+            bare, lead, before = (part[1:], "", self.line) if part[0] == "\n" else (part, self.space, b"")
+            if bare.isascii() and bare.isalpha():
+                parts[part] = before + _packed([t.id for t in merge(lead + bare)])
+            elif bare.isalpha() and max(bare) <= "\xff":
+                parts[part] = before + _packed([t.id for t in merge(lead + bare.translate(self.spelt))])
+            else:
+                rest.append(part)
+
+        for part in unknown:
+            if part[-1] in MARKS and part[-2:-1].isalpha():
+                marked.append(part)
+                part = part[:-1]
+                if part in parts:
+                    continue
+            word(part)
+        for part, ids in zip(rest, self._direct([x[1:] if x[0] == "\n" else f" {x}" for x in rest]), strict=True):
+            parts[part] = self.line + ids if part[0] == "\n" else ids
+        for part in marked:
+            parts[part] = parts[part[:-1]] + self.marks[part[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            parts = text.split(" ") if not _DOUBLE.search(text) and text[:1] != " " and text[-1:] != " " else _CUT.split(text)
-            cut.append([parts[0], *map(str.__add__, repeat(" "), parts[1:])])
-        seen: dict[str, bytes] = {}
-        unknown: list[str] = []
-        new, old = self.new, self.old
-        for part in set().union(*cut):
-            ids = new.get(part)
-            if ids is None:
-                ids = old.get(part)
-                if ids is None:
-                    unknown.append(part)
-                    continue
-                new[part] = ids
-            seen[part] = ids
+        out: list[bytes] = [b""] * len(texts)
+        cut: list[tuple[int, list[str]]] = []
+        odd: list[int] = []
+        for i, text in enumerate(texts):
+            flat = text.replace("\n", " ")
+            if self.cuts and flat and "  " not in flat and flat[0] != " " and flat[-1] != " " and flat.isprintable():
+                cut.append((i, text.replace("\n", " \n").split(" ")))
+            elif text:
+                odd.append(i)
+        known = set().union(*(words[1:] for _, words in cut))
+        unknown = known.difference(self.parts)
+        if len(self.parts) + len(unknown) > CACHE_PARTS:
+            self.parts = {x: self.parts[x] for x in known.difference(unknown)}
         if unknown:
             self._learn(unknown)
-            seen.update((x, self.new[x]) for x in unknown)
-        return [b"".join(map(seen.__getitem__, parts)) for parts in cut]
+        ids = self.parts.__getitem__
+        for (i, words), first in zip(cut, self._direct([words[0] for _, words in cut]), strict=True):
+            out[i] = first + b"".join(map(ids, words[1:]))
+        for i in odd:
+            pieces = _CUT.split(texts[i]) if self.cuts else [texts[i]]
+            out[i] = b"".join(self._direct([pieces[0], *(f" {x}" for x in pieces[1:])]))
+        return out
 
 
 def encoder(path: str) -> Encoder:
@@ -104,7 +115,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def blocks(texts: list[str], chars: int = 2_000_000):
+def blocks(texts: list[str], chars: int = 4_000_000):
     """(start, end) of runs of texts of about ``chars`` characters; one text at least."""
     start, size = 0, 0
     for i, text in enumerate(texts):
