@@ -10,6 +10,7 @@ from . import decontaminate
 from .common import table
 from .decontaminate import contamination
 from .language import identify_language
+from .licenses import scan_licenses
 from .packing import pack_mixture
 from .quality_classifier import score_quality
 from .quality_rules import judge_quality
@@ -47,6 +48,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op7_decontamination": op7_decontamination,
+    "op8_licenses": op8_licenses,
     "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.ORACLE}
