@@ -2,45 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ASCII_LOWER = ASCII_UPPER.lower()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it.
+from ..functions.lineage import shared_dir, written
 
-    Only a local session without the setting gets a temporary folder; on a
-    cluster the missing setting is an error, because a folder of one machine
-    would not be seen by the others.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+__all__ = ["lower_ascii", "shared_dir", "table", "text_of", "written"]
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of it.
-
-    Cuts the lineage: an executor lost later costs a re-read, not a re-run.
-    The folder is deleted when the session ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ASCII_LOWER = ASCII_UPPER.lower()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contamination
 from .language import identify_language
 from .licenses import scan_licenses
+from .near_duplicates import near_duplicates
 from .packing import pack_mixture
 from .quality_classifier import score_quality
 from .quality_rules import judge_quality
@@ -56,6 +57,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -65,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_licenses": op8_licenses,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.ORACLE}
