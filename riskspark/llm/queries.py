@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate
 from .common import table
 from .decontaminate import contamination
+from .html_text import extract_pages
 from .language import identify_language
 from .licenses import scan_licenses
 from .near_duplicates import near_duplicates
@@ -45,6 +46,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
+    "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
     "op8_licenses": op8_licenses,
     "op9_quality_classifier": op9_quality_classifier,
