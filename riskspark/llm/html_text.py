@@ -291,7 +291,7 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
 
     def content() -> str:
         out = []
-        if r.random() < 0.8:
+        if r.random() < 0.55:
             out.append(f"<h1>{sentence(3, 10)}</h1>")
         for i in range(r.choice([1, 1, 2, 3, 4, 6, 9])):
             kind = r.random()

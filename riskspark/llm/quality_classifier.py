@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import text_of
 
+#: Labelled rows to fit on, about.
+TRAIN_ROWS = 50_000
 FEATURES = (
     "log_words", "word_length", "upper_share", "symbol_share", "punctuation_share", "digit_share",
     "space_share", "distinct_share", "repeat_share", "line_repeat_share", "log_line_words", "squeeze", "entropy",
@@ -130,27 +132,51 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", train_rows: int = TRAIN_ROWS) -> Discriminant | None:
+    """Fit on labels of 0 or 1 whose document isn't held out.
+
+    A document with several labels counts by its lowest. About ``train_rows``
+    labels are taken, by a hash of the id; so bounded, they are broadcast, and
+    the texts are read where they lie.
+    """
+    known = labels.filter("quality in (0, 1)").groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min("quality").alias("label")).filter(~held_out())
+    share = min(1.0, train_rows / max(1, known.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), "text")
+    return fit(document_statistics(texts.join(F.broadcast(known.filter(place)), "doc_id"), "label"), F.col("label"))
+
+
+def _scores(texts: list[str | None], model: Discriminant | None) -> np.ndarray:
+    if model is None:
+        return np.full(len(texts), 0.5)
+    return model.scores(np.array([statistics(x or "") for x in texts]).reshape(-1, len(FEATURES)))
+
+
 def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document row.
 
-    Learns from labels of 0 or 1 whose document isn't held out; a document with
-    several labels counts once, by its lowest. Without two classes to learn from
-    every score is 0.5. Null texts count as empty and get a score; repeated rows
-    are scored each; other columns are not read.
-
-    One pass over the texts writes 13 numbers a document; labels are joined to
-    those, not to the texts.
+    Without two classes to learn from every score is 0.5. Null texts count as
+    empty and get a score; repeated rows are scored each; other columns are not
+    read. Two passes over the texts, the first over labelled ones; no shuffle.
     """
-    measured = written(document_statistics(documents.withColumn("doc_id", F.col(id_col).cast("long")), "doc_id").withColumn("held_out", held_out()), "statistics")
-    known = labels.filter("quality in (0, 1)").groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min("quality").alias("label"))
-    model = fit(measured.filter(~F.col("held_out")).join(known, "doc_id"), F.col("label"))
+    model = train(documents, labels, id_col)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in FEATURES])
-            s = np.full(len(x), 0.5) if model is None else model.scores(x)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"]
-            )
+            s = _scores(batch.column("text").to_pylist(), model)
+            own = [batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(own, names=["doc_id", "held_out", "score", "predicted"])
+
+    read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"))
+    return read.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``documents`` whose score reaches the threshold, with all their columns."""
+    model = train(documents, labels, id_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column("text").to_pylist(), model) >= threshold))
 
-    return measured.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+    return documents.mapInArrow(kept, documents.schema)

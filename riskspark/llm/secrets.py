@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, text_of, written
+from .common import text_of, written
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -61,8 +61,8 @@ def _spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     return F.when(text.rlike(pattern), shaped).otherwise(none)
 
 
-def with_spans(documents: DataFrame, id_col: str) -> DataFrame:
-    """(doc_id, base, runs): the base spans, and the candidate runs that overlap none of them."""
+def with_spans(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, base and runs: the base spans, and the candidate runs that overlap none of them."""
     text = F.col("text")
     base = F.concat(
         _spans(text, "assign", ASSIGN, lambda x: F.char_length(F.regexp_extract(x["found"], ASSIGN, 2)) >= 8),
@@ -70,9 +70,9 @@ def with_spans(documents: DataFrame, id_col: str) -> DataFrame:
         _spans(text, "hex", HEX),
     )
     runs = _spans(text, "markov", CANDIDATE, lambda x: x["found"].rlike("[0-9]"))
-    df = text_of(documents, F.col(id_col).cast("long").alias("doc_id")).select("doc_id", F.array_sort(base).alias("base"), runs.alias("runs"))
+    df = texts.select(*keep, F.array_sort(base).alias("base"), runs.alias("runs"))
     clear = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return df.select("doc_id", "base", clear.alias("runs"))
+    return df.select(*keep, "base", clear.alias("runs"))
 
 
 def _class_of(ch: Column) -> Column:
@@ -132,6 +132,18 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _found(ratios: list[float], threshold: float) -> Column:
+    """All spans, from the columns base and runs."""
+    more = F.filter("runs", lambda r: markov_score(r["found"], ratios) >= threshold)
+    return F.when(F.size("runs") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", more)))
+
+
+def _trained_spans(documents: DataFrame, id_col: str, train_rows: int) -> tuple[DataFrame, list[float]]:
+    texts = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
+    spans = written(with_spans(texts, "doc_id"), "spans")
+    return spans, train_ratios(spans, documents, id_col, train_rows)
+
+
 def find_secrets(documents: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Per document: n_assign, n_access, n_hex, base_sha256, spans, and ``found`` with all spans' places.
 
@@ -141,28 +153,29 @@ def find_secrets(documents: DataFrame, id_col: str = "doc_id", threshold: float
     One pass over the texts writes the spans, which are few; the models and the
     result read those. The models are CLASSES x CLASSES numbers whatever the table.
     """
-    spans = written(with_spans(documents, id_col), "spans")
-    ratios = train_ratios(spans, documents, id_col, train_rows)
-    more = F.filter("runs", lambda r: markov_score(r["found"], ratios) >= threshold)
-    every = spans.select("doc_id", "base", F.when(F.size("runs") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", more))).alias("found"))
+    spans, ratios = _trained_spans(documents, id_col, train_rows)
+    every = spans.select("doc_id", "base", _found(ratios, threshold).alias("found"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
     return every.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS[:3]], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), F.col("found"))
 
 
-def redact(documents: DataFrame, found: DataFrame, id_col: str = "doc_id", mark: str = "[SECRET]") -> DataFrame:
-    """``documents`` with each found span of its text replaced by ``mark``; columns and rows stay.
+def redact(documents: DataFrame, id_col: str = "doc_id", mark: str = "[SECRET]", threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``documents`` with each secret in its text replaced by ``mark``; rows and columns stay.
 
-    ``found`` is the result of ``find_secrets``; one row an id is needed. Spans
-    that overlap are replaced once, from the first start to the last end.
+    Spans that overlap are replaced once, from the first start to the last end. A
+    text without secrets, null included, stays as it is. Two passes over the
+    texts, one for the models and one to replace; no shuffle of texts.
     """
-    spans = found.filter(F.size("found") > 0).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
+    _, ratios = _trained_spans(documents, id_col, train_rows)
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    spans = with_spans(packed, "row", "text").select("row", "text", _found(ratios, threshold).alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
-        start, end = F.greatest(x["start"], acc["at"]), F.greatest(x["end"], acc["at"])
         fresh = x["start"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, start - acc["at"]), F.lit(mark))).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+        before = F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
+        return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), F.when(fresh, F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
-    rest = F.aggregate("__found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
-    joined = documents.join(spans, F.col(id_col) == F.col("__id"), "left")
-    return joined.withColumn("text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(rest)).select(*documents.columns)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    clean = F.aggregate("found", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
+    text = F.when(F.size("found") > 0, clean).otherwise(F.col("row.text"))
+    return spans.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
