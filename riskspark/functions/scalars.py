@@ -100,7 +100,7 @@ def masked_view(df: DataFrame, privileged: bool = False, masks: Mapping = MASKS)
 
 def classify_decision(p: Column, approve_max: float | Column = 0.10, step_up_max: float | Column = 0.60, block_min: float | Column = 0.90) -> Column:
     """approve below the first bound, step_up below the second, block above the third, else manual_review."""
-    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
+    p = F.when(p.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
     return F.when(p < approve_max, "approve").when(p < step_up_max, "step_up").when(p <= block_min, "manual_review").when(p > block_min, "block")
 
 
