@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..operators import aggregates, clean, drift, evaluate, graph, joins, labels, merge, profile, quality, windows
+from ..sources import files
+from ..streaming import events
 from .fixtures import load, with_derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -975,3 +977,121 @@ def e9_describe_compare(spark, sf_dir):
 )
 def e9_category_shares(spark, sf_dir):
     return rounded(profile.describe_compare(*_halves(spark, sf_dir), "amount", "channel", "event_time_ts")[1])
+
+
+# Streams in batch form, sources, models -----------------------------------------
+
+_BODY = """CASE WHEN event_id % 31 = 0 THEN 'not json' WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN '{}' ELSE 'ok' END"""
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    """The events as broker messages, some of them broken."""
+    key = F.col("event_id")
+    event = F.to_json(F.struct(key.cast("string").alias("transaction_id"), F.col("ts").cast("string").alias("event_time"), F.col("user_id").cast("string").alias("card_id"), F.col("value").alias("amount"), F.col("event_type").alias("channel")))
+    body = F.when(key % 31 == 0, "not json").when(key % 37 == 0, None).when(key % 41 == 0, "{}").otherwise(event)
+    return load(spark, sf_dir, "events").select(body.alias("value"))
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(user_id AS VARCHAR) AS card_id, value AS amount, event_type AS channel FROM events WHERE {_BODY} = 'ok'")
+def s9_parsed_events(spark, sf_dir):
+    good, _ = events.split_parse_failures(events.parse_events(_messages(spark, sf_dir)))
+    return good.select("transaction_id", "card_id", "amount", "channel")
+
+
+@query(f"SELECT 'stream_to_bronze' AS _gate, 'JSON_PARSE_FAILURE' AS _rejection_reason, count(*) AS rows FROM events WHERE coalesce({_BODY}, '') <> 'ok'")
+def s21_quarantine_summary(spark, sf_dir):
+    _, bad = events.split_parse_failures(events.parse_events(_messages(spark, sf_dir)), as_of())
+    return files.quarantine_summary(bad)
+
+
+@query("SELECT CAST(file AS VARCHAR) AS file, rows, 2 AS columns, passed FROM (SELECT 'orders' AS file, count(*) AS rows, true AS passed FROM orders)")
+def s7_landing_counts(spark, sf_dir):
+    """The landing check's counts, on a CSV copy of the orders in the shared folder."""
+    from ..functions.lineage import shared_dir
+
+    folder = f"{shared_dir(spark)}/landing-{sf_dir.strip('/').replace('/', '-')}"
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders.repartition(1).write.mode("overwrite").option("header", True).csv(folder)
+    landed = spark.read.option("pathGlobFilter", "*.csv").text(folder).select(F.col("_metadata.file_name").alias("name")).first()["name"]
+    checked = files.landing_check(spark, folder, {landed: (orders.count(), 2)})
+    return checked.select(F.lit("orders").alias("file"), "rows", "columns", "passed")
+
+
+@query("SELECT transaction_id, event_time_ts < TIMESTAMP '2024-01-10 00:00:00' - INTERVAL 10 MINUTE AS late FROM txn", "txn")
+def t12_late_events(spark, sf_dir):
+    good, late = events.split_late_events(load(spark, sf_dir, "txn"), F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'"), at=as_of())
+    return good.select("transaction_id", F.lit(False).alias("late")).unionByName(late.select("transaction_id", F.lit(True).alias("late")))
+
+
+@query("SELECT count_if(event_time_ts < TIMESTAMP '2024-01-10 00:00:00' - INTERVAL 10 MINUTE) AS late_drops FROM txn", "txn")
+def a11_late_drops(spark, sf_dir):
+    _, late = events.split_late_events(load(spark, sf_dir, "txn"), F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'"), at=as_of())
+    return aggregates.late_drops(late, as_of())
+
+
+@query("SELECT 'cases' AS output, count_if(champion >= 0.1) AS n FROM scores UNION ALL SELECT 'audit', count_if(champion >= 0.1) FROM scores UNION ALL SELECT 'step_up', count_if(champion >= 0.1 AND champion < 0.6) FROM scores", "scores")
+def t10_routed_decisions(spark, sf_dir):
+    out = None
+    for name, df in events.route_decisions(load(spark, sf_dir, "scores"), "champion").items():
+        own = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query(
+    f"""WITH q AS (SELECT transaction_id AS case_id, event_time_ts AS asked FROM txn WHERE transaction_id % 3 = 0), a AS (SELECT transaction_id AS case_id, event_time_ts + INTERVAL 1 MINUTE * (transaction_id % 8) AS told, CASE WHEN transaction_id % 2 = 0 THEN 'VERIFIED' ELSE 'FAILED' END AS s FROM txn WHERE transaction_id % 9 = 0)
+    SELECT q.case_id, CASE WHEN told <= asked + INTERVAL 5 MINUTE THEN s ELSE 'ESCALATED' END AS status, CASE WHEN told <= asked + INTERVAL 5 MINUTE THEN told ELSE asked + INTERVAL 5 MINUTE END AS at FROM q LEFT JOIN a USING (case_id) WHERE TIMESTAMP '{AS_OF}' > asked""",
+    "txn",
+)
+def t11_step_up_timeouts(spark, sf_dir):
+    txn = load(spark, sf_dir, "txn").withColumn("case_id", F.col("transaction_id"))
+    told = F.col("event_time_ts") + F.make_dt_interval(mins=(F.col("transaction_id") % 8).cast("int"))
+    answers = txn.filter("case_id % 9 = 0").select("case_id", F.when(F.col("case_id") % 2 == 0, "VERIFIED").otherwise("FAILED").alias("status"), told.alias("answered_at"))
+    return events.step_up_timeouts(txn.filter("case_id % 3 = 0").select("case_id", F.col("event_time_ts").alias("requested_at")), answers, as_of())
+
+
+@query("WITH l AS (SELECT DISTINCT channel FROM txn WHERE event_date < DATE '2024-01-16' AND channel IS NOT NULL AND channel <> 'signup'), r AS (SELECT channel, row_number() OVER (ORDER BY channel) - 1 AS i FROM l) SELECT transaction_id, CAST(coalesce(i, -1) AS INT) AS channel_idx FROM txn LEFT JOIN r USING (channel)", "txn")
+def d19_ordinal_encode(spark, sf_dir):
+    from ..operators import model
+
+    txn = load(spark, sf_dir, "txn")
+    fitted = model.fit_ordinals(txn.filter("event_date < DATE '2024-01-16' AND channel IS NOT NULL AND channel <> 'signup'"), ["channel"])
+    return model.ordinal_encode(txn, fitted).select("transaction_id", "channel_idx")
+
+
+@query(
+    """WITH c AS (SELECT transaction_id, 0.5 * (coalesce(amount, 20.0) - 20.0) AS a, -0.1 * (merchant_id - 50.0) AS m, 0.02 * (card_id - 70.0) AS k FROM txn),
+    l AS (SELECT transaction_id, f.name AS name, f.v AS v FROM (SELECT transaction_id, unnest([{'name': 'amount', 'v': a}, {'name': 'merchant_id', 'v': m}, {'name': 'card_id', 'v': k}]) AS f FROM c))
+    SELECT c.transaction_id, coalesce(string_agg(name, ',' ORDER BY v DESC), '') AS factors FROM c LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC) AS r FROM l WHERE v > 0) t ON t.transaction_id = c.transaction_id AND r <= 2 GROUP BY c.transaction_id""",
+    "txn",
+)
+def d26_top_risk_factors(spark, sf_dir):
+    from ..operators import model
+
+    out = model.top_risk_factors(load(spark, sf_dir, "txn"), {"amount": 0.5, "merchant_id": -0.1, "card_id": 0.02}, {"amount": 20.0, "merchant_id": 50.0, "card_id": 70.0}, 2)
+    return out.select("transaction_id", F.array_join(F.transform("top_risk_factors", lambda x: x["feature"]), ",").alias("factors"))
+
+
+@query(
+    "SELECT CAST(CASE WHEN count(amount) / count(*) > 0.05 AND var_pop(coalesce(amount, 0)) > 0.01 THEN 1 ELSE 0 END + CASE WHEN count(merchant_id) / count(*) > 0.05 AND var_pop(coalesce(merchant_id, 0)) > 0.01 THEN 1 ELSE 0 END AS BIGINT) AS kept FROM txn",
+    "txn",
+)
+def d18_selected_columns(spark, sf_dir):
+    """How many of four columns survive the null and variance rules: a constant and an empty one don't."""
+    from ..operators import model
+
+    df = load(spark, sf_dir, "txn").withColumns({"flat": F.lit(1.0), "none": F.lit(None).cast("double")})
+    names = model.select_columns(df, ["amount", "merchant_id", "flat", "none"])
+    return df.agg(*[F.count_if(F.col(c).isNotNull()).alias(c) for c in names]).select(F.lit(len(names)).cast("long").alias("kept"))
+
+
+@query("WITH d AS (SELECT transaction_id AS case_id, champion FROM scores WHERE transaction_id % 7 = 0) SELECT case_id, 't' || case_id AS transaction_id, champion FROM d WHERE case_id % 2 = 0", "scores")
+def j8_cases_with_decisions(spark, sf_dir):
+    decisions = load(spark, sf_dir, "scores").filter("transaction_id % 7 = 0").select(F.col("transaction_id").alias("case_id"), "champion")
+    cases = load(spark, sf_dir, "scores").filter("transaction_id % 2 = 0").select(F.col("transaction_id").alias("case_id"), F.concat(F.lit("t"), F.col("transaction_id").cast("string")).alias("transaction_id"))
+    return joins.cases_with_decisions(decisions, cases).select("case_id", "transaction_id", "champion")
+
+
+@query(f"{_COMPONENTS}, c AS (SELECT a AS id, min(z) AS component FROM reach GROUP BY a), d AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY id) SELECT substr(id, 10) AS customer_id, TIMESTAMP '2024-02-06 00:00:00' AS feature_timestamp, degree, component FROM v JOIN c USING (id) JOIN d USING (id) WHERE id LIKE 'customer:%'", "txn")
+def j11_graph_features(spark, sf_dir):
+    return joins.graph_features(graph.entity_metrics(*_graph(spark, sf_dir), "2024-02-05").drop("rank"))
