@@ -100,7 +100,7 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
 
 
-def fit(labelled: DataFrame, label: Column, to_pooled: float = 0.3, to_identity: float = 0.02, smallest: int = 2) -> Discriminant | None:
+def fit(labelled: DataFrame, label: Column, to_pooled: float = 0.6, to_identity: float = 0.02, smallest: int = 2) -> Discriminant | None:
     """Fit on rows with the statistics' columns, all of them, by one aggregate of sums and products.
 
     None if a class has fewer than ``smallest`` rows.
@@ -115,7 +115,8 @@ def fit(labelled: DataFrame, label: Column, to_pooled: float = 0.3, to_identity:
     s = np.array([[rows[k][f"s{i}"] for i in range(d)] for k in (0, 1)])
     p = np.array([[[rows[k][f"p{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)] for k in (0, 1)])
     centre = s.sum(0) / n.sum()
-    scale = np.sqrt(np.maximum(np.diagonal(p.sum(0)) / n.sum() - centre**2, 1e-12))
+    variance = np.diagonal(p.sum(0)) / n.sum() - centre**2
+    scale = np.sqrt(np.where(variance > 1e-9 * (1 + centre**2), variance, 1.0))  # a constant statistic says nothing
     means = (s / n[:, None] - centre) / scale
     within = (p / n[:, None, None] - np.einsum("ki,kj->kij", s / n[:, None], s / n[:, None])) / np.outer(scale, scale)
     pooled = (within * n[:, None, None]).sum(0) / n.sum()

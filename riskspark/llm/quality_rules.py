@@ -98,18 +98,18 @@ def votes() -> dict[str, Column]:
     }
 
 
-def fit_votes(counts: list[tuple[tuple[int, ...], int]], rounds: int = 200, smooth: float = 1.0) -> tuple[float, list[list[list[float]]]]:
+def fit_votes(counts: list[tuple[tuple[int, ...], int]], rules: int = 0, rounds: int = 200, smooth: float = 1.0) -> tuple[float, list[list[list[float]]]]:
     """EM over vote patterns: the share of good documents and ``P(vote | rule, class)``.
 
     Starts from the share of good among each pattern's votes. A table without
     rows, or votes, leaves the start's even odds.
     """
-    rules = len(counts[0][0]) if counts else 0
+    rules = len(counts[0][0]) if counts else rules
     start = {p: (p.count(GOOD) + 0.5) / (p.count(GOOD) + p.count(BAD) + 1.0) if BAD in p or GOOD in p else 0.5 for p, _ in counts}
     # A lone bad vote is weighed as half the document: rules are made to vote bad rarely.
     good = {p: v * 0.5 ** p.count(BAD) if BAD in p else v for p, v in start.items()}
-    prior, table = 0.5, [[[1 / 3] * 3] * 2] * rules
-    for _ in range(rounds):
+    prior, table = 0.5, [[[1 / 3] * 3] * 2 for _ in range(rules)]
+    for _ in range(rounds if counts else 0):
         n1 = sum(good[p] * n for p, n in counts)
         n0 = sum((1 - good[p]) * n for p, n in counts)
         old, prior = prior, (n1 + smooth) / (n1 + n0 + 2 * smooth)
@@ -155,7 +155,7 @@ def judge_quality(documents: DataFrame, id_col: str = "doc_id", threshold: float
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = written(counted.select(*base, *[v.alias(n) for n, v in zip(names, rules.values(), strict=True)]), "votes")
     patterns = judged.groupBy(*names).count().collect()
-    prior, table = fit_votes([(tuple(r[n] for n in names), r["count"]) for r in patterns])
+    prior, table = fit_votes([(tuple(r[n] for n in names), r["count"]) for r in patterns], len(names))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     scored = judged.select(*base, failed.alias("base_failed"), *names, posterior_column(prior, table, names).alias("p_good"))
     return scored.select(*base, "base_failed", (~F.col("base_failed") & (F.col("p_good") >= threshold)).alias("kept"), "p_good", *names)
