@@ -2,20 +2,24 @@
 
 Byte-level BPE cuts a text into pieces by a pattern before it merges bytes. A
 single space or line feed between two non-space characters always starts a
-piece, and so does a mark after a letter. So a text may be cut there, each
-distinct part encoded once, and the ids joined: the result is that of encoding
-the whole text. Texts with other white space are cut at fewer places.
+piece, and so do marks after a letter. So a text may be cut there, each distinct
+part encoded once, and the ids joined: the result is that of encoding the whole
+text. Texts with other white space are cut at fewer places.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 
-#: Parts that an encoder remembers.
-CACHE_PARTS = 400_000
-MARKS = frozenset(".,;:!?")
+#: Parts in each of the two generations of the cache.
+CACHE_PARTS = 300_000
+#: Marks that make one piece after a letter; an apostrophe may belong to an ending.
+MARKS = string.punctuation.replace("'", "")
+#: Before a part: it stands after a line feed, or starts its text. Else a space stands before it.
+AFTER_LINE, AT_START = "\n", "\r"
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -25,12 +29,29 @@ def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers.
+class Parts(dict):
+    """Ids of parts; unknown ones are encoded when asked for, older ones kept a generation long."""
+
+    def __init__(self, encoder: "Encoder"):
+        self.encoder = encoder
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self.encoder.part(part)
+        self[part] = ids
+        return ids
+
+    def age(self) -> None:
+        """Start a new generation if this one is full."""
+        if len(self) > CACHE_PARTS:
+            self.old = dict(self)
+            self.clear()
 
-    The cache holds a part under its word if a space stands before it, and under
-    a line feed and its word if a line feed does; what starts a text is apart.
-    """
+
+class Encoder:
+    """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,72 +60,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
         #: Letters of Latin-1 as the model's vocabulary writes their bytes.
         self.spelt = {i: bytewise.pre_tokenize_str(chr(i))[0][0] for i in range(256) if chr(i).isalpha()}
         self.space = bytewise.pre_tokenize_str(" ")[0][0]
-        self.line = self._direct(["\n"])[0]
-        self.marks = {x: self._direct([x])[0] for x in MARKS}
+        self.line = self.whole("\n")
+        self.marks: dict[str, bytes] = {}
         #: Whether this tokenizer cuts as described; if not, texts are encoded whole.
-        self.cuts = self._whole("Ab cd, ef\ngh.") == b"".join(map(self._whole, ("Ab", " cd", ",", " ef", "\n", "gh", ".")))
-        self.parts: dict[str, bytes] = {}
+        self.cuts = self.whole("Ab cd, ef\ngh.") == b"".join(map(self.whole, ("Ab", " cd", ",", " ef", "\n", "gh", ".")))
+        self.parts = Parts(self)
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, unknown: set[str]) -> None:
-        """Add the parts to the cache."""
-        parts, merge = self.parts, self.tokenizer.model.tokenize
-        marked, rest = [], []
-
-        def word(part: str) -> None:
-            # A word of letters is one piece, so the model's merges alone give its ids.
-            bare, lead, before = (part[1:], "", self.line) if part[0] == "\n" else (part, self.space, b"")
-            if bare.isascii() and bare.isalpha():
-                parts[part] = before + _packed([t.id for t in merge(lead + bare)])
-            elif bare.isalpha() and max(bare) <= "\xff":
-                parts[part] = before + _packed([t.id for t in merge(lead + bare.translate(self.spelt))])
-            else:
-                rest.append(part)
-
-        for part in unknown:
-            if part[-1] in MARKS and part[-2:-1].isalpha():
-                marked.append(part)
-                part = part[:-1]
-                if part in parts:
-                    continue
-            word(part)
-        for part, ids in zip(rest, self._direct([x[1:] if x[0] == "\n" else f" {x}" for x in rest]), strict=True):
-            parts[part] = self.line + ids if part[0] == "\n" else ids
-        for part in marked:
-            parts[part] = parts[part[:-1]] + self.marks[part[-1]]
+    def part(self, part: str) -> bytes:
+        """Ids of one part by its key."""
+        stem = part.rstrip(MARKS)
+        if len(stem) < len(part) and stem[-1:].isalpha():
+            tail = part[len(stem) :]
+            if tail not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[tail] = self.whole(tail)
+            return self.parts[stem] + self.marks[tail]
+        first = part[:1]
+        bare, lead, before = (part[1:], "", self.line) if first == AFTER_LINE else (part[1:], "", b"") if first == AT_START else (part, self.space, b"")
+        # A word of letters is one piece, so the model's merges alone give its ids.
+        if bare.isalpha():
+            if bare.isascii():
+                return before + _packed([t.id for t in self.merge(lead + bare)])
+            if max(bare) <= "\xff":
+                return before + _packed([t.id for t in self.merge(lead + bare.translate(self.spelt))])
+        return before + self.whole(bare if before or first == AT_START else f" {part}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        odd: list[int] = []
-        for i, text in enumerate(texts):
+        ids, out = self.parts.__getitem__, []
+        for text in texts:
             flat = text.replace("\n", " ")
             if self.cuts and flat and "  " not in flat and flat[0] != " " and flat[-1] != " " and flat.isprintable():
-                cut.append((i, text.replace("\n", " \n").split(" ")))
+                out.append(b"".join(map(ids, (AT_START + text.replace("\n", " \n")).split(" "))))
+                self.parts.age()
             elif text:
-                odd.append(i)
-        known = set().union(*(words[1:] for _, words in cut))
-        unknown = known.difference(self.parts)
-        if len(self.parts) + len(unknown) > CACHE_PARTS:
-            self.parts = {x: self.parts[x] for x in known.difference(unknown)}
-        if unknown:
-            self._learn(unknown)
-        ids = self.parts.__getitem__
-        for (i, words), first in zip(cut, self._direct([words[0] for _, words in cut]), strict=True):
-            out[i] = first + b"".join(map(ids, words[1:]))
-        for i in odd:
-            pieces = _CUT.split(texts[i]) if self.cuts else [texts[i]]
-            out[i] = b"".join(self._direct([pieces[0], *(f" {x}" for x in pieces[1:])]))
+                pieces = _CUT.split(text) if self.cuts else [text]
+                out.append(b"".join(map(self.whole, [pieces[0], *(f" {x}" for x in pieces[1:])])))
+            else:
+                out.append(b"")
         return out
 
 
