@@ -7,21 +7,23 @@ the Jaccard similarity of their sets reaches the threshold. The join:
    probability equal to their similarity. Equal sets are joined at once, by a
    digest, and one of each stays.
 2. Chosen paths: in each of ``trees`` independent trees documents branch by the
-   value of one selected token, then, in nodes still larger than ``leaf``, by the
-   next selected one, and so on. In a small node all pairs are candidates. In a
-   large one every document is paired with the node's smallest id only, a number
-   of pairs linear in the node, and the node branches further; so a group of
-   thousands of near copies never becomes all its pairs.
+   values of two selected tokens (one alone is shared by chance too often), then,
+   in nodes still larger than ``leaf``, by one more, and so on. In a small node
+   all pairs are candidates. In a large one every document is paired with the
+   node's smallest id only, a number of pairs linear in the node, and the node
+   branches further; so a group of thousands of near copies never becomes all
+   its pairs.
+   A first look links each document to one leader, on full sets; nodes that turn
+   out to be one component end there.
 3. Candidates are filtered by lengths and by the agreement of all tokens (a
    pair at the threshold fails that with a probability below 1e-7), then
-   confirmed on the full sets: first each document's best candidate, then all
-   pairs that still lie in different components.
+   confirmed on the full sets.
 4. Nodes that are still large at the last level and hold several components are
    compared exhaustively between those components.
 
-With k levels passed, a pair at similarity s is missed by all trees with
-probability (1 - s^k)^trees: 1e-7 at the threshold of 0.8 after one level,
-4e-5 after two.
+After k levels, k + 1 tokens, a pair at similarity s is missed by all trees with
+probability (1 - s^(k + 1))^trees: 5e-6 at the threshold of 0.8 after the first
+level, 2e-4 after the second.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ from .tokens import blocks
 TOKENS = 64
 #: Share of agreeing tokens below which a pair isn't confirmed; see above.
 LEAST_AGREEMENT = 0.5
+#: Bits of the filter of candidates' ids; more candidates than about a tenth of it only let more texts pass.
+FILTER_BITS = 1 << 26
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -102,7 +106,7 @@ def minwise_tokens(values: np.ndarray) -> np.ndarray:
 
 
 def _sketches(documents: DataFrame, id_col: str, size: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, tokens) of every document row."""
+    """(doc_id, n_shingles, digest, tokens, code) of every document row; code is 16 bits of each token."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,66 +120,84 @@ def _sketches(documents: DataFrame, id_col: str, size: int) -> DataFrame:
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, TOKENS * (b - a + 1), TOKENS), pa.int32()), pa.array(tokens.ravel())),
+                        pa.array([x.tobytes() for x in tokens.astype(np.uint16)], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "tokens"],
+                    names=["doc_id", "n_shingles", "digest", "tokens", "code"],
                 )
 
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
-    return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>")
+    return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>, code binary")
 
 
 def _paths(tree: int, levels: int) -> list[int]:
-    """The tokens that this tree selects, level by level; first ones differ from tree to tree."""
+    """The tokens that this tree selects: two for the root, one for each level more; first ones differ from tree to tree."""
     order = np.random.default_rng(1000 + tree).permutation(TOKENS).tolist()
     order.remove(tree % TOKENS)
-    return [tree % TOKENS, *order[: levels - 1]]
+    return [tree % TOKENS, *order[:levels]]
 
 
-def _candidates(sets: DataFrame, trees: int, levels: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
-    """(a, b) with a < b of all trees, and the rows of nodes still large at the last level."""
+def _key_of(tree: int, level: int, levels: int):
+    tokens = [F.get(F.col("tokens"), F.lit(c)) for c in _paths(tree, levels)[: level + 1]]
+    return F.xxhash64(F.lit(tree), F.lit(level), *tokens)
 
-    def key_of(tree: int, level: int):
-        tokens = [F.get(F.col("tokens"), F.lit(c)) for c in _paths(tree, levels)[:level]]
-        return F.xxhash64(F.lit(tree), F.lit(level), *tokens)
 
-    def noded(rows: DataFrame, name: str) -> DataFrame:
-        """Rows of nodes with two documents or more, with the node's size and smallest id."""
-        nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).filter("size > 1")
-        return written(rows.join(nodes, "key"), name)
+def _first_nodes(sets: DataFrame, trees: int, levels: int) -> DataFrame:
+    """(key, id, tree, size, leader) of the first level's nodes of two documents or more."""
+    key = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), _key_of(t, 1, levels).alias("key")) for t in range(trees)])).alias("x")
+    rows = sets.select("id", key).select("id", "x.tree", "x.key")
+    nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).filter("size > 1")
+    return written(rows.join(nodes, "key"), "nodes")
 
-    first = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), key_of(t, 1).alias("key")) for t in range(trees)])).alias("x")
-    rows = noded(sets.select("id", first).select("id", "x.tree", "x.key"), "nodes")
+
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with ``c``, the component of ``id`` so far."""
+    joined = rows.join(found.withColumnRenamed("component", "c"), "id", "left")
+    return joined.withColumn("c", F.coalesce("c", "id"))
+
+
+def _candidates(first: DataFrame, sets: DataFrame, found: DataFrame, trees: int, levels: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
+    """(a, b) with a < b of all trees, and the rows of nodes still large at the last level.
+
+    Nodes whose documents are one component already have nothing to add and end.
+    """
+
+    def noded(rows: DataFrame) -> DataFrame:
+        nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "c")).alias("leader"), F.min("c").alias("low"), F.max("c").alias("high"))
+        open_nodes = nodes.filter("low <> high").select("key", "size", F.col("leader.id").alias("leader"), F.col("leader.c").alias("leader_c"))
+        return written(rows.join(open_nodes, "key"), "nodes")
+
+    rows = noded(_named(first.select("id", "tree", "key"), found))
     pairs: list[DataFrame] = []
     for level in range(1, levels + 1):
         small = rows.filter(F.col("size") <= leaf)
-        left, right = small.select("key", F.col("id").alias("a")), small.select("key", F.col("id").alias("b"))
-        pairs.append(left.join(right, "key").filter("a < b").select("a", "b"))
+        left, right = small.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), small.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
         large = rows.filter(F.col("size") > leaf)
-        pairs.append(large.filter("leader < id").select(F.col("leader").alias("a"), F.col("id").alias("b")))
+        starred = large.filter("c <> leader_c").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        pairs.append(written(left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").unionByName(starred).distinct(), "pairs"))
         if large.isEmpty():
             return reduce(DataFrame.unionByName, pairs), None
         if level == levels:
             return reduce(DataFrame.unionByName, pairs), large
         if level == 1:
-            # The deeper keys of documents in large nodes only.
-            deeper = F.array(*[F.when(F.col("tree") == t, F.array(*[key_of(t, k) for k in range(2, levels + 1)])) for t in range(trees)])
-            deep = large.select("id", "tree").join(sets.select("id", "tokens"), "id").select("id", "tree", F.get(deeper, F.col("tree")).alias("keys"))
-            rows = noded(deep.withColumn("key", F.get("keys", F.lit(0))), "nodes")
+            # The deeper keys of documents in open large nodes only.
+            deeper = F.array(*[F.when(F.col("tree") == t, F.array(*[_key_of(t, k, levels) for k in range(2, levels + 1)])) for t in range(trees)])
+            keys = F.get(deeper, F.col("tree")).alias("keys")
+            rows = noded(large.select("id", "tree", "c").join(sets.select("id", "tokens"), "id").select("id", "tree", "c", keys).withColumn("key", F.get("keys", F.lit(0))))
         else:
-            rows = noded(large.select("id", "tree", "keys", F.get("keys", F.lit(level - 1)).alias("key")), "nodes")
+            rows = noded(large.select("id", "tree", "c", "keys", F.get("keys", F.lit(level - 1)).alias("key")))
     raise ValueError("levels must be 1 or more")
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, agree): distinct pairs whose lengths and tokens allow the threshold."""
-    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("code").alias("ta"))
+    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("code").alias("tb"))
     lengths = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     both = pairs.distinct().join(one, "a").join(two, "b").filter(lengths).select("a", "b", "ta", "tb")
 
     def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (batch.column(c).flatten().to_numpy().reshape(-1, TOKENS) for c in ("ta", "tb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, TOKENS) for c in ("ta", "tb"))
             agree = (x == y).sum(1).astype(np.int32)
             keep = pa.array(agree >= LEAST_AGREEMENT * TOKENS)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(agree).filter(keep)], names=["a", "b", "agree"])
@@ -183,6 +205,45 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(agreeing, "a long, b long, agree int")
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """The low 48 bits of each hash: a quarter less to move, and still less than one wrong match in 1e7 pairs of long documents."""
+    return np.unique(values & np.uint64((1 << 48) - 1)).view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 4), np.uint16)
+    out[:, :3] = np.frombuffer(raw, np.uint16).reshape(-1, 3)
+    return out.view(np.uint64).ravel()
+
+
+def _full_sets(documents: DataFrame, id_col: str, size: int, pairs: DataFrame) -> DataFrame:
+    """(id, values) of the documents in ``pairs``, and of few others.
+
+    A bitmap of hashed ids, of ``FILTER_BITS`` bits whatever the table, is built
+    by Spark and shipped; texts are filtered and turned into sets where they are
+    read, so no text is shuffled. What passes by chance finds no pair later.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    marks = ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    held = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, bits in marks.toLocalIterator():
+        held[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bits, np.uint8)
+    shipped = documents.sparkSession.sparkContext.broadcast(held)
+
+    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("spot").to_numpy() - 1
+            some = batch.filter(pa.array(shipped.value[at >> 3] >> (at & 7) & 1 > 0))
+            texts = some.column("text").to_pylist()
+            for a, b in blocks(texts):
+                values = pa.array([_narrow(x) for x in shingle_sets(texts[a:b], size)], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column("id").slice(a, b - a), values], names=["id", "values"])
+
+    texts = text_of(documents, F.col(id_col).cast("long").alias("id"))
+    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(valued, "id long, values binary"), "full-sets")
+
+
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """(src, dst) of the pairs whose full sets reach the threshold."""
     joined = pairs.join(full.select(F.col("id").alias("a"), F.col("values").alias("va")), "a").join(full.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
@@ -191,16 +252,29 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("va"), batch.column("vb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = _wide(x.as_py()), _wide(y.as_py())
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["src", "dst"])
 
-    return joined.select("a", "b", "va", "vb").mapInArrow(compared, "src long, dst long")
+    return written(joined.select("a", "b", "va", "vb").mapInArrow(compared, "src long, dst long"), "links")
+
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """(id, component) of a forest given by (id, component) with the parent, a smaller id, as component.
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 10, levels: int = 8, leaf: int = 12) -> DataFrame:
+    Every round doubles the way to the root. Roots themselves have no row.
+    """
+    while True:
+        up = parents.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        joined = written(parents.join(up, "component", "left").select("id", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved")), "roots")
+        parents = joined.select("id", "component")
+        if joined.filter("moved").isEmpty():
+            return parents
+
+
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 12, levels: int = 8, leaf: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document row.
 
     Linked documents have 100 * intersection >= ``percent`` * union of their
@@ -211,61 +285,36 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
     Equal sets are linked whatever their number. Rows that repeat an id are one
     vertex. Only the id and the text are read; an empty table gives no rows.
 
-    Shuffled are sketches (about 300 bytes a document), node rows (16 bytes a
-    document and tree) and, of candidates alone, texts and sets.
+    Shuffled are sketches (about 400 bytes a document), node rows (16 bytes a
+    document and tree) and the full sets of candidates; texts are not.
     """
     sketches = written(_sketches(documents, id_col, size), "sketches")
     groups = sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
-    sets = written(
-        groups.join(sketches.withColumnRenamed("doc_id", "id"), ["digest", "id"]).select("id", F.col("n_shingles").alias("n"), "tokens").dropDuplicates(["id"]),
-        "sets",
-    )
-    pairs, large = _candidates(sets, trees, levels, leaf)
+    own = sketches.select("digest", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "code")
+    sets = written(groups.join(own, ["digest", "id"]).select("id", "n", "tokens", "code"), "sets")
+    first = _first_nodes(sets, trees, levels)
+    # A first look at large nodes, one pair a document, makes most of them one component.
+    starred = first.filter(F.col("size") > leaf).groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).filter("a < b").select("a", "b")
+    likely = written(_plausible(starred, sets, percent), "likely")
+    links = _confirmed(likely.select("a", "b"), _full_sets(documents, id_col, size, likely), percent)
+    found = _roots(links.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("component")))
+
+    pairs, large = _candidates(first, sets, found, trees, levels, leaf)
     likely = written(_plausible(pairs, sets, percent), "likely")
-
-    def full_sets(wanted: DataFrame) -> DataFrame:
-        ids = wanted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-
-        def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for a, b in blocks(texts):
-                    values = pa.array([x.tobytes() for x in shingle_sets(texts[a:b], size)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), values], names=["id", "values"])
-
-        texts = text_of(documents, F.col(id_col).cast("long").alias("id"))
-        return written(texts.join(ids, "id", "left_semi").mapInArrow(valued, "id long, values binary").dropDuplicates(["id"]), "full-sets")
-
-    full = full_sets(likely)
-    # The best candidate of each document: most agreeing tokens, then the smallest partner.
-    ends = likely.select(F.col("a").alias("id"), F.col("b").alias("other"), "agree").unionByName(likely.select(F.col("b").alias("id"), F.col("a").alias("other"), "agree"))
-    rank = F.min(F.struct((-F.col("agree")).alias("agree"), F.col("other")))
-    best = ends.groupBy("id").agg(rank.alias("x")).select(F.least("id", "x.other").alias("a"), F.greatest("id", "x.other").alias("b")).distinct()
-    links = written(_confirmed(best, full, percent), "links")
+    links = links.unionByName(_confirmed(likely.select("a", "b"), _full_sets(documents, id_col, size, likely), percent))
     found = written(connected_components(links), "components")
-
-    def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs whose ends lie in different components."""
-        of_a, of_b = found.select(F.col("id").alias("a"), F.col("component").alias("ca")), found.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        return pairs.join(of_a, "a", "left").join(of_b, "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    rest = apart(likely.select("a", "b"), found).join(best, ["a", "b"], "left_anti")
-    more = written(_confirmed(rest, full, percent), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        found = written(connected_components(links), "components")
     if large is not None:
-        named = large.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        named = _named(large.select("key", "id"), found)
         mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
         open_rows = written(named.join(mixed, "key", "left_semi"), "open")
         left, right = open_rows.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), open_rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
         across = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(likely, ["a", "b"], "left_anti")
         last = written(_plausible(across, sets, percent), "likely")
         if not last.isEmpty():
-            links = links.unionByName(written(_confirmed(last.select("a", "b"), full_sets(last), percent), "links"))
+            links = links.unionByName(_confirmed(last.select("a", "b"), _full_sets(documents, id_col, size, last), percent))
             found = written(connected_components(links), "components")
     named = sketches.select("doc_id", "n_shingles", "digest").join(groups.select("digest", F.col("id").alias("first")), "digest", "left")
-    first = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id"))
-    placed = named.select("doc_id", "n_shingles", first.alias("first")).join(found.select(F.col("id").alias("first"), "component"), "first", "left")
+    first_id = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id"))
+    placed = named.select("doc_id", "n_shingles", first_id.alias("first")).join(found.select(F.col("id").alias("first"), "component"), "first", "left")
     component = F.coalesce("component", "first")
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
