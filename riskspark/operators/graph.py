@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Large star: every larger neighbour is linked to the smallest one.
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # Small star: so are the smaller neighbours and the vertex itself.
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small_low, "u")
