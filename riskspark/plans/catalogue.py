@@ -692,6 +692,11 @@ def _graph(spark, sf_dir):
     return graph.build_entity_graph(load(spark, sf_dir, "txn").filter("transaction_id % 500 = 0"))
 
 
+def _whole_graph(spark, sf_dir):
+    """The graph of all transactions; the queries named ``..._whole`` have no SQL, as the recursive form is too slow on it."""
+    return graph.build_entity_graph(load(spark, sf_dir, "txn"))
+
+
 @query(f"WITH {_EDGES} SELECT src, dst, relationship FROM e", "txn")
 def r1_entity_edges(spark, sf_dir):
     return _graph(spark, sf_dir)[1]
@@ -702,6 +707,16 @@ def r1_entity_vertices(spark, sf_dir):
     return _graph(spark, sf_dir)[0]
 
 
+@query()
+def r1_entity_edges_whole(spark, sf_dir):
+    return _whole_graph(spark, sf_dir)[1]
+
+
+@query()
+def r1_entity_vertices_whole(spark, sf_dir):
+    return _whole_graph(spark, sf_dir)[0]
+
+
 def _rank_sql() -> str:
     steps = ["r0 AS (SELECT id, 1.0E0 AS rank FROM v)"]
     for i in range(1, 6):
@@ -714,11 +729,21 @@ def r2_pagerank(spark, sf_dir):
     return rounded(graph.pagerank(*_graph(spark, sf_dir)))
 
 
+@query()
+def r2_pagerank_whole(spark, sf_dir):
+    return rounded(graph.pagerank(*_whole_graph(spark, sf_dir)))
+
+
 @query(f"WITH {_EDGES} SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY id", "txn")
 def r3_degrees(spark, sf_dir):
     return graph.degrees(_graph(spark, sf_dir)[1])
 
 
+@query()
+def r3_degrees_whole(spark, sf_dir):
+    return graph.degrees(_whole_graph(spark, sf_dir)[1])
+
+
 _COMPONENTS = f"WITH RECURSIVE {_EDGES}, b AS (SELECT src AS x, dst AS y FROM e UNION SELECT dst, src FROM e), reach AS (SELECT id AS a, id AS z FROM v UNION SELECT reach.a, b.y FROM reach JOIN b ON b.x = reach.z)"
 
 
@@ -727,11 +752,21 @@ def r4_connected_components(spark, sf_dir):
     return graph.connected_components(_graph(spark, sf_dir)[1])
 
 
+@query()
+def r4_connected_components_whole(spark, sf_dir):
+    return graph.connected_components(_whole_graph(spark, sf_dir)[1])
+
+
 @query(f"{_COMPONENTS}, c AS (SELECT a AS id, min(z) AS component FROM reach GROUP BY a), d AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY id) SELECT id, degree, component, DATE '2024-02-05' AS snapshot_date FROM v JOIN c USING (id) JOIN d USING (id)", "txn")
 def r5_entity_metrics(spark, sf_dir):
     return graph.entity_metrics(*_graph(spark, sf_dir), "2024-02-05").select("id", "degree", "component", "snapshot_date")
 
 
+@query()
+def r5_entity_metrics_whole(spark, sf_dir):
+    return graph.entity_metrics(*_whole_graph(spark, sf_dir), "2024-02-05").select("id", "degree", "component", "snapshot_date")
+
+
 def _sharing_sql(entity: str, member: str, hours: int) -> str:
     return f"SELECT t.transaction_id, t.{entity}, t.event_time_ts, count(DISTINCT o.{member}) AS sharing_count FROM txn t JOIN txn o ON o.{entity} = t.{entity} AND epoch_us(o.event_time_ts) // 1000000 BETWEEN epoch_us(t.event_time_ts) // 1000000 - {hours * 3600} AND epoch_us(t.event_time_ts) // 1000000 GROUP BY 1, 2, 3"
 
@@ -1095,3 +1130,8 @@ def j8_cases_with_decisions(spark, sf_dir):
 @query(f"{_COMPONENTS}, c AS (SELECT a AS id, min(z) AS component FROM reach GROUP BY a), d AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY id) SELECT substr(id, 10) AS customer_id, TIMESTAMP '2024-02-06 00:00:00' AS feature_timestamp, degree, component FROM v JOIN c USING (id) JOIN d USING (id) WHERE id LIKE 'customer:%'", "txn")
 def j11_graph_features(spark, sf_dir):
     return joins.graph_features(graph.entity_metrics(*_graph(spark, sf_dir), "2024-02-05").drop("rank"))
+
+
+@query()
+def j11_graph_features_whole(spark, sf_dir):
+    return joins.graph_features(graph.entity_metrics(*_whole_graph(spark, sf_dir), "2024-02-05").drop("rank"))
