@@ -18,12 +18,15 @@ the Jaccard similarity of their sets reaches the threshold. The join:
 3. Candidates are filtered by lengths and by the agreement of all tokens (a
    pair at the threshold fails that with a probability below 1e-7), then
    confirmed on the full sets.
-4. Nodes that are still large at the last level and hold several components are
-   compared exhaustively between those components.
+4. Branching ends at the deepest level that keeps the miss bound. Nodes that are
+   still large there and hold several components are compared exhaustively
+   between those components, in blocks of about ``BLOCK`` documents, whatever
+   their number; this is quadratic in such a node, as its pairs are.
 
 After k levels, k + 1 tokens, a pair at similarity s is missed by all trees with
 probability (1 - s^(k + 1))^trees: 5e-6 at the threshold of 0.8 after the first
-level, 2e-4 after the second.
+level, 2e-4 after the second, which is the deepest by default. Trees share no
+token down to there, so they are independent.
 """
 
 from __future__ import annotations
@@ -45,6 +48,10 @@ from .tokens import blocks
 TOKENS = 64
 #: Share of agreeing tokens below which a pair isn't confirmed; see above.
 LEAST_AGREEMENT = 0.5
+#: Probability up to which a pair at the threshold may be missed.
+MISS = 2e-4
+#: Documents of a block in the exhaustive comparison, about.
+BLOCK = 512
 #: Bits of the filter of candidates' ids; more candidates than about a tenth of it only let more texts pass.
 FILTER_BITS = 1 << 26
 
@@ -129,21 +136,28 @@ def _sketches(documents: DataFrame, id_col: str, size: int) -> DataFrame:
     return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>, code binary")
 
 
-def _paths(tree: int, levels: int) -> list[int]:
-    """The tokens that this tree selects: two for the root, one for each level more; first ones differ from tree to tree."""
-    order = np.random.default_rng(1000 + tree).permutation(TOKENS).tolist()
-    order.remove(tree % TOKENS)
-    return [tree % TOKENS, *order[:levels]]
+def deepest_level(percent: int, trees: int, levels: int, miss: float = MISS) -> int:
+    """The last level, 1 at least and ``levels`` at most, at which a pair at the threshold is missed with at most ``miss``.
+
+    Trees must also have tokens of their own down to it.
+    """
+    holds = [k for k in range(1, levels + 1) if (1 - (percent / 100) ** (k + 1)) ** trees <= miss and trees * (k + 1) <= TOKENS]
+    return max(holds, default=1)
+
+
+def _paths(tree: int, trees: int, levels: int) -> list[int]:
+    """The tokens that this tree selects: two for the root, one for each level more; no other tree has them while there are enough."""
+    return [(tree + k * trees) % TOKENS for k in range(levels + 1)]
 
 
-def _key_of(tree: int, level: int, levels: int):
-    tokens = [F.get(F.col("tokens"), F.lit(c)) for c in _paths(tree, levels)[: level + 1]]
+def _key_of(tree: int, level: int, trees: int, levels: int):
+    tokens = [F.get(F.col("tokens"), F.lit(c)) for c in _paths(tree, trees, levels)[: level + 1]]
     return F.xxhash64(F.lit(tree), F.lit(level), *tokens)
 
 
 def _first_nodes(sets: DataFrame, trees: int, levels: int) -> DataFrame:
     """(key, id, tree, size, leader) of the first level's nodes of two documents or more."""
-    key = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), _key_of(t, 1, levels).alias("key")) for t in range(trees)])).alias("x")
+    key = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), _key_of(t, 1, trees, levels).alias("key")) for t in range(trees)])).alias("x")
     rows = sets.select("id", key).select("id", "x.tree", "x.key")
     nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).filter("size > 1")
     return written(rows.join(nodes, "key"), "nodes")
@@ -180,7 +194,7 @@ def _candidates(first: DataFrame, sets: DataFrame, found: DataFrame, trees: int,
             return reduce(DataFrame.unionByName, pairs), large
         if level == 1:
             # The deeper keys of documents in open large nodes only.
-            deeper = F.array(*[F.when(F.col("tree") == t, F.array(*[_key_of(t, k, levels) for k in range(2, levels + 1)])) for t in range(trees)])
+            deeper = F.array(*[F.when(F.col("tree") == t, F.array(*[_key_of(t, k, trees, levels) for k in range(2, levels + 1)])) for t in range(trees)])
             keys = F.get(deeper, F.col("tree")).alias("keys")
             rows = noded(large.select("id", "tree", "c").join(sets.select("id", "tokens"), "id").select("id", "tree", "c", keys).withColumn("key", F.get("keys", F.lit(0))))
         else:
@@ -205,6 +219,42 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(agreeing, "a long, b long, agree int")
 
 
+def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of different components in a node whose lengths and tokens allow the threshold.
+
+    ``rows`` has key, id, c and size. Every two blocks of a node meet in one group
+    of a bounded size, so a large node is dealt over many tasks, and only
+    plausible pairs become rows.
+    """
+    blocks_in = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id", F.lit(7)), blocks_in).cast("int")
+    known = rows.join(sets.select("id", "n", "code"), "id").withColumn("block", own)
+    dealt = known.select("key", "id", "c", "n", "code", "block", F.explode(F.sequence(F.lit(0), blocks_in - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "c", "n", "code")
+
+    def compared(group: pa.Table) -> pa.Table:
+        ids, c, n, block = (group.column(x).to_numpy() for x in ("id", "c", "n", "block"))
+        codes = np.frombuffer(b"".join(group.column("code").to_pylist()), np.uint16).reshape(-1, TOKENS)
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        for at in range(0, len(left), 64):
+            mine = left[at : at + 64]
+            x, y = mine[:, None], right[None, :]
+            hit = (c[x] != c[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+            if low == high:
+                hit &= ids[x] < ids[y]
+            i, j = np.nonzero(hit)
+            for k in range(0, len(i), 1 << 16):
+                a, b = mine[i[k : k + (1 << 16)]], right[j[k : k + (1 << 16)]]
+                keep = (codes[a] == codes[b]).sum(1) >= LEAST_AGREEMENT * TOKENS
+                found.append(np.column_stack([ids[a[keep]], ids[b[keep]]]))
+        both = np.sort(np.concatenate(found), axis=1)
+        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+
+    return dealt.groupBy("key", "low", "high").applyInArrow(compared, "a long, b long").distinct()
+
+
 def _narrow(values: np.ndarray) -> bytes:
     """The low 48 bits of each hash: a quarter less to move, and still less than one wrong match in 1e7 pairs of long documents."""
     return np.unique(values & np.uint64((1 << 48) - 1)).view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
@@ -287,7 +337,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
 
     Shuffled are sketches (about 400 bytes a document), node rows (16 bytes a
     document and tree) and the full sets of candidates; texts are not.
+    Of pairs at the threshold at most ``MISS`` are missed: nodes branch down to
+    ``deepest_level``, ``levels`` at most, and are compared exhaustively there.
     """
+    levels = deepest_level(percent, trees, levels)
     sketches = written(_sketches(documents, id_col, size), "sketches")
     groups = sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
     own = sketches.select("digest", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "code")
@@ -304,12 +357,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
     links = links.unionByName(_confirmed(likely.select("a", "b"), _full_sets(documents, id_col, size, likely), percent))
     found = written(connected_components(links), "components")
     if large is not None:
-        named = _named(large.select("key", "id"), found)
+        named = _named(large.select("key", "id", "size"), found)
         mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
         open_rows = written(named.join(mixed, "key", "left_semi"), "open")
-        left, right = open_rows.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), open_rows.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-        across = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(likely, ["a", "b"], "left_anti")
-        last = written(_plausible(across, sets, percent), "likely")
+        last = written(_across(open_rows, sets, percent).join(likely, ["a", "b"], "left_anti"), "likely")
         if not last.isEmpty():
             links = links.unionByName(_confirmed(last.select("a", "b"), _full_sets(documents, id_col, size, last), percent))
             found = written(connected_components(links), "components")
