@@ -25,8 +25,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates."""
-    copies = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    """The document of the smallest id of each group of near-duplicates, by sets of five-word shingles."""
+    copies = near_duplicates(docs, size=5).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
