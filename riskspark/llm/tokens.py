@@ -4,7 +4,8 @@ Byte-level BPE cuts a text into pieces by a pattern before it merges bytes. A
 single space or line feed between two non-space characters always starts a
 piece, and so do marks after a letter. So a text may be cut there, each distinct
 part encoded once, and the ids joined: the result is that of encoding the whole
-text. Texts with other white space are cut at fewer places.
+text. Texts with other white space are cut at fewer places, and texts that hold
+an added token, such as an end mark, nowhere.
 """
 
 from __future__ import annotations
@@ -59,7 +60,8 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that are one id wherever a text holds them; such texts are encoded whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge = self.tokenizer.model.tokenize
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -98,6 +100,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         ids, out = self.parts.__getitem__, []
         for text in texts:
+            if any(x in text for x in self.added):
+                out.append(self.whole(text))
+                continue
             flat = text.replace("\n", " ")
             if self.cuts and flat and "  " not in flat and flat[0] != " " and flat[-1] != " " and flat.isprintable():
                 out.append(b"".join(map(ids, (AT_START + text.replace("\n", " \n")).split(" "))))
