@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 from .common import text_of, written
 from .tokens import blocks, encoder
 
-#: Sources beyond which a mixture is refused: the targets are a table that every task holds.
+#: Sources with a queue of their own; the targets are a table that every task holds. The rarer rest shares one queue.
 MAX_SOURCES = 10_000
+#: Parts of the shared queue, by a hash of the source; their sums are collected.
+SHARED_PARTS = 4096
+#: Numbers of the positions that a task remembers.
+KNOWN_NUMBERS = 1 << 22
 
 
 class Mixture:
@@ -65,7 +69,7 @@ class Mixture:
         out = self._served(low)
         left = position - int(out.sum())
         out[np.flatnonzero(self._served(high) > out)[:left]] += 1
-        if len(self._known) >= 4096:
+        if len(self._known) >= 4096 or len(self._known) * len(out) > KNOWN_NUMBERS:
             self._known.clear()
         self._known[position] = out
         return out
@@ -132,7 +136,9 @@ def pack_mixture(
 
     ``weights`` are target proportions of tokens by source; the default is each
     source's own share, under which all queues end together. Sources that are
-    not named come last. Only the last sequence has padding.
+    not named come last. Only the last sequence has padding. Any number of
+    sources is packed: those beyond the ``MAX_SOURCES`` largest and the named ones
+    follow each other in one queue, whose target is the sum of theirs.
 
     Null and empty texts are one end id; a null source is the source ``""``;
     repeated rows are separate documents. An empty table gives no row. Only the
@@ -143,20 +149,34 @@ def pack_mixture(
     """
     tokens = tokenize(documents, tokenizer_path, id_col, source_col)
     sums = written(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")), "queue-sums")
-    totals = {r["source"]: r["n"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"a mixture has at most {MAX_SOURCES} sources; group rarer ones first")
-    queue = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("part", "source", F.coalesce(F.sum("n").over(queue), F.lit(0)).alias("base"))
+    by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
+    named = F.col("source").isin(list(weights)) if weights else F.lit(False)
+    own = {r["source"]: r["n"] for r in by_source.orderBy(named.desc(), F.col("n").desc(), "source").limit(MAX_SOURCES + len(weights or ())).collect()}
+    before = lambda *keys: Window.partitionBy(keys[0]).orderBy(*keys[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("part", "source", F.coalesce(F.sum("n").over(before("source", "part")), F.lit(0)).alias("base"))
+    # The key of the queue that rare sources share sorts behind all others.
+    shared, totals = (1, ""), {(0, s): n for s, n in own.items()}
+    targets = None if weights is None else {(0, s): w for s, w in weights.items()}
+    if len(own) >= MAX_SOURCES + len(weights or ()):
+        names = F.broadcast(sums.sparkSession.createDataFrame([(s,) for s in own], "source string"))
+        rare = sums.join(names, "source", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("source"), F.lit(SHARED_PARTS)))
+        sizes = sorted((r["bucket"], r["n"]) for r in rare.groupBy("bucket").agg(F.sum("n").alias("n")).collect())
+        if sizes:
+            ends = np.cumsum([n for _, n in sizes]).tolist()
+            totals[shared] = ends[-1]
+            starts = sums.sparkSession.createDataFrame([(b, end - n) for (b, n), end in zip(sizes, ends, strict=True)], "bucket long, start long")
+            inside = F.coalesce(F.sum("n").over(before("bucket", "source", "part")), F.lit(0))
+            behind = rare.select("part", "source", "bucket", inside.alias("inside")).join(F.broadcast(starts), "bucket")
+            bases = bases.join(names, "source", "left_semi").select("part", "source", "base").unionByName(behind.select("part", "source", (F.col("start") + F.col("inside")).alias("base")))
     window = sequence_tokens * window_sequences
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixture = Mixture(totals, weights)
+        mixture = Mixture(totals, targets)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, source, first, n, width, ids in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
                 wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
-                s, at = mixture.index[source], 0
+                s, at = mixture.index[(0, source) if (0, source) in mixture.index else shared], 0
                 k = mixture.window_of(s, first, window)
                 while at < n:
                     here, after = mixture.before(k * window), mixture.before((k + 1) * window)
