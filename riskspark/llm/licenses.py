@@ -15,8 +15,14 @@ is exact and needs no comparison of all blocks with all templates:
 
 What passes is verified on full sets. The templates are a given, small set; their
 index is a literal table in the plan, and only blocks that hold a prefix token
-are expanded. Each block gives the label of the template that it holds best. Only DataFrame
-functions touch rows.
+are expanded. Each line gives the label of the template that it holds best.
+
+Notices are also sought by place, over line breaks: a window of a template's
+length over the threshold, in words, is a block too. Matches at one place compete,
+and the best stays; matches at different places all count, so a line or a text
+without line feeds may give several labels. A line's label is dropped where a
+better match that runs over its end took the place. Only DataFrame functions
+touch rows.
 """
 
 from __future__ import annotations
@@ -81,12 +87,79 @@ def anchors(threshold: float) -> list[str]:
     return sorted(w for w in found if not any(x != w and x in w for x in found))
 
 
+def anchor_words(threshold: float) -> list[str]:
+    """Words of which every window that matches some template holds one, as in ``anchors``."""
+    found: set[str] = set()
+    for _, text in TEMPLATES:
+        words = sorted(template_words(text), key=lambda w: (-len(w), w))
+        found.update(words[: len(words) - needed_words(len(words), threshold) + 1])
+    return sorted(found)
+
+
+def window_words(text: str, threshold: float) -> int:
+    """Words of a window: the template's own number, with room for others between them."""
+    return math.ceil(len(re.findall(WORD, text.lower())) / threshold - 1e-9)
+
+
+def _literals(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
+def contexts_of(words: Column, threshold: float) -> Column:
+    """array<struct<start, words>>: the words around each anchor word, where these hold enough words of a template."""
+    reach = max(window_words(text, threshold) for _, text in TEMPLATES) - 1
+    held = _literals(anchor_words(threshold))
+    sets = [template_words(text) for _, text in TEMPLATES]
+
+    def shaped(w: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(held, F.get(w, i)))
+        around = F.transform(at, lambda i: F.struct(F.greatest(i - reach, F.lit(0)).alias("start"), F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("words")))
+        return F.filter(around, lambda x: reduce(lambda a, b: a | b, [F.size(F.array_intersect(_literals(t), x["words"])) >= needed_words(len(t), threshold) for t in sets]))
+
+    return F.get(F.transform(F.array(words), shaped), F.lit(0))
+
+
+PLACES = "array<struct<share:double,size:int,label:string,tight:int,start:int,end:int>>"
+
+
+def places_of(context: Column, threshold: float) -> Column:
+    """All windows of a context that match a template, from their first to their last word that counts."""
+
+    def of_template(label: str, text: str) -> Column:
+        words, width = template_words(text), window_words(text, threshold)
+        size, needed, own = len(words), needed_words(len(words), threshold), _literals(words)
+
+        def shared(i: Column, n: Column) -> Column:
+            return F.size(F.array_intersect(own, F.slice(context["words"], i + 1, n)))
+
+        def matched(i: Column) -> Column:
+            count = shared(i, F.lit(width))
+            last = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(width)), lambda n: shared(i, n) >= count))
+            span = F.struct((count / F.lit(size)).alias("share"), F.lit(size).alias("size"), F.lit(label).alias("label"), (-last).alias("tight"), (context["start"] + i).alias("start"), (context["start"] + i + last).alias("end"))
+            return F.when(count >= needed, span)
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(context["words"]) - 1), lambda i: F.array_contains(own, F.get(context["words"], i)))
+        enough = F.size(F.array_intersect(own, context["words"])) >= needed
+        return F.when(enough, F.array_compact(F.transform(starts, matched))).otherwise(F.expr(f"cast(array() as {PLACES})"))
+
+    return F.concat(*[of_template(label, text) for label, text in TEMPLATES])
+
+
+def best_places(found: Column) -> Column:
+    """Of matches that overlap, the best; the tighter of equals."""
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"])), acc).otherwise(F.concat(acc, F.array(x)))
+
+    return F.aggregate(F.reverse(F.array_sort(F.array_distinct(found))), F.expr(f"cast(array() as {PLACES})"), step)
+
+
 def _holds_any(c: Column, strings: list[str]) -> Column:
     return reduce(lambda x, y: x | y, [c.contains(x) for x in strings])
 
 
 def blocks_of(documents: DataFrame, id_col: str, threshold: float) -> DataFrame:
-    """(doc_id, n_words, base, lines): word count, phrase places, and the lines that hold an anchor.
+    """(doc_id, n_words, base, lines, contexts): word count, phrase places, the lines that hold an anchor, the words around anchors.
 
     ``base`` is array<struct<at, label>>; a line is its distinct words that some
     template has, with the number of all its distinct words.
@@ -124,7 +197,9 @@ def blocks_of(documents: DataFrame, id_col: str, threshold: float) -> DataFrame:
         return F.struct(F.array_intersect(words, known).alias("words"), F.size(words).alias("size"))
 
     lines = F.transform(F.filter(F.split(text, "\n", -1), lambda x: _holds_any(x, hold)), shaped)
-    return df.select("doc_id", "n_words", base.alias("base"), F.when(_holds_any(text, hold), lines).otherwise(F.expr("cast(array() as array<struct<words:array<string>,size:int>>)")).alias("lines"))
+    near = contexts_of(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), threshold)
+    contexts = F.when(_holds_any(text, hold), near).otherwise(F.expr("cast(array() as array<struct<start:int,words:array<string>>>)"))
+    return df.select("doc_id", "n_words", base.alias("base"), F.when(_holds_any(text, hold), lines).otherwise(F.expr("cast(array() as array<struct<words:array<string>,size:int>>)")).alias("lines"), contexts.alias("contexts"))
 
 
 def _all_of(c: Column, strings: list[str]) -> Column:
@@ -146,7 +221,7 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float
     """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score`` is the greatest containment of a template in one of the document's
-    blocks, 1 where a base phrase stands, and 0 where there is neither. Null and
+    blocks or windows, 1 where a base phrase stands, and 0 where there is neither. Null and
     empty texts have no words and no labels; repeated rows are scanned each; an
     empty table gives no rows. Only the id and the text are read.
 
@@ -188,7 +263,13 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float
     held = F.array(*[F.lit(w) for w in index])
     near = F.filter("lines", lambda x: (F.size(x["words"]) >= smallest) & F.arrays_overlap(x["words"], held))
     own = F.when(F.size("near") == 0, F.expr("cast(array() as array<struct<share:double,size:int,label:string>>)")).otherwise(F.array_compact(F.transform("near", matches)))
-    df = found.select("doc_id", "n_words", "base", near.alias("near")).select("doc_id", "n_words", "base", own.alias("own"))
+    spans = F.when(F.size("contexts") == 0, F.expr(f"cast(array() as {PLACES})")).otherwise(F.flatten(F.transform("contexts", lambda x: places_of(x, threshold))))
+    df = found.select("doc_id", "n_words", "base", near.alias("near"), spans.alias("spans"))
+    df = df.select("doc_id", "n_words", "base", own.alias("own"), "spans", F.when(F.size("spans") == 0, F.col("spans")).otherwise(best_places(F.col("spans"))).alias("best"))
+    # A line's label whose every place went to better matches.
+    lost = lambda x: F.exists("spans", lambda y: (y["label"] == x["label"]) & (y["share"] >= x["share"])) & ~F.exists("best", lambda y: y["label"] == x["label"])
+    shaped = lambda c: F.transform(c, lambda x: F.struct(x["share"].alias("share"), x["size"].alias("size"), x["label"].alias("label")))
+    df = df.select("doc_id", "n_words", "base", F.concat(shaped(F.filter("own", lambda x: ~lost(x))), shaped("best")).alias("own"))
     labels = F.transform("base", lambda x: x["label"])
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     return df.select(
