@@ -6,35 +6,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import written
+from ..functions.skew import join_hot
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, component) of every vertex with an edge; component is its smallest reachable id.
 
-    Alternates large-star and small-star rounds until nothing changes, a number
-    of rounds that grows with the logarithm of the longest chain. Each round is
-    written to the shared folder. Nulls and self-loops are no edges.
+    Alternates large-star and small-star rounds until every vertex points at its
+    root, a number of rounds that grows with the logarithm of the longest chain.
+    Each round is written to the shared folder. A vertex of very many neighbours
+    is joined by a broadcast, so its neighbours don't meet in one task. Nulls and
+    self-loops are no edges.
     """
     a, b = F.col(src), F.col(dst)
     links = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     links = written(links, "links")
-    before = None
-    for _ in range(most_rounds):
+    while not _is_star_forest(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree"))
         # Large star: every larger neighbour is linked to the smallest one.
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        large = join_hot(both, low, "u", "degree", 2 * links.count()).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # Small star: so are the smaller neighbours and the vertex itself.
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(small_low, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        links = written(small, "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        small = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+        large, small = written(large, "large-star"), written(small, "small-star")
+        moved = join_hot(large, small, "u", "degree", large.count()).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = written(moved.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "links")
     roots = links.select(F.col("v").alias("id")).distinct()
-    return links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(roots.join(links.select(F.col("u").alias("id")), "id", "left_anti").select("id", F.col("id").alias("component")))
+    return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
+
+
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v``, and no ``v`` is a ``u``: then each v is the root of its tree."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select("v", F.lit(0), F.lit(1)).toDF("id", "up", "down"))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def build_entity_graph(txn: DataFrame) -> tuple[DataFrame, DataFrame]:
