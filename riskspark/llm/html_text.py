@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+_OPEN = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_TAG_AT = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"""[>"']""")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _GOLD = re.compile(r'data-gold="([01])"')
@@ -39,6 +42,10 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _BOUND = frozenset("ul ol dl table div section article aside header footer nav main body form blockquote td th".split())
 TAGS = ("#text", "html", "body", "main", "article", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "a", "span", "b", "strong", "em", "i", "nav", "header", "footer", "aside", "form", "button", "label", "table", "tr", "td", "blockquote", "pre", "figure", "figcaption", "small", "#other")
 _TAG = {t: i for i, t in enumerate(TAGS)}
+#: Elements nested deeper hang on the one at this depth, as in browsers; none is lost.
+DEEPEST = 512
+#: Tags without an end in a page, after which ends are looked up with a memory.
+FAILED = 8
 #: Parts of class, id and role names that speak for or against content.
 FOR = frozenset("article content post entry story body text main prose".split())
 AGAINST = frozenset(
@@ -48,6 +55,78 @@ AGAINST = frozenset(
 FEATURES = len(TAGS) + 10
 
 
+class Tags:
+    """The markup of a page from left to right, in time linear in the page whatever it holds."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.failed = source, source.rfind(">"), 0
+        self._next: dict[re.Pattern, tuple[int, int]] = {}
+        self._ends: dict[int, int] = {}
+
+    def _found(self, pattern: re.Pattern, at: int) -> int:
+        """The next match from ``at`` on, or -1; ``at`` mostly grows, so a match ahead is remembered."""
+        since, ahead = self._next.get(pattern, (0, -2))
+        if ahead == -2 or not since <= at <= ahead and not (ahead == -1 and since <= at):
+            m = pattern.search(self.source, at)
+            since, ahead = self._next[pattern] = at, m.start() if m else -1
+        return ahead
+
+    def _end(self, at: int) -> int:
+        """Where the tag whose attributes start at ``at`` has its ``>``, outside quotes; -1 if nowhere."""
+        passed, end = [], -1
+        while at <= self.last and (here := self._found(_SPECIAL, at)) >= 0:
+            if here in self._ends or self.source[here] == ">":
+                end = self._ends.get(here, here)
+                break
+            passed.append(here)
+            if (closed := self.source.find(self.source[here], here + 1)) < 0:
+                break
+            at = closed + 1
+        self._ends.update(dict.fromkeys(passed, end))
+        return end
+
+    def tag(self, at: int) -> tuple[str, str, int] | None:
+        """(name, attributes, end) of the tag at ``at``, if it has an end."""
+        if at > self.last:
+            return None
+        if self.failed < FAILED:
+            if m := _TAG_AT.match(self.source, at):
+                return m[1].lower(), m[2], m.end()
+            self.failed += 1
+            return None
+        start = at + 1 + (self.source[at + 1] == "/")
+        named = self._found(_NAME_END, start)
+        end = self._end(named) if named >= 0 else -1
+        return (self.source[start:named].lower(), self.source[named:end], end + 1) if end >= 0 else None
+
+    def __iter__(self) -> Iterator[tuple[str, str, str, str]]:
+        """(text before, kind, name, attributes) of each tag; kind is "" or "/" for tags, "text" for what ends at other markup."""
+        source, at, seek = self.source, 0, 0
+        while m := _OPEN.search(source, seek):
+            start, kind = m.start(), source[m.start() + 1]
+            if kind in "!?":
+                comment = source.startswith("<!--", start)
+                end = source.find("-->", start + 4) if comment else source.find(">", start + 2) if start < self.last else -1
+                if end < 0 and not comment:
+                    seek = m.end()
+                    continue
+                yield source[at:start], "text", "", ""
+                at = seek = len(source) if end < 0 else end + (3 if comment else 1)
+                continue
+            if (found := self.tag(start)) is None:
+                seek = m.end()
+                continue
+            name, attributes, end = found
+            yield source[at:start], "/" if kind == "/" else "", name, attributes
+            at = seek = end
+            if kind != "/" and name in RAW:
+                # What it holds is no markup and is never shown.
+                closing = re.compile(rf"</{name}\b", re.IGNORECASE).search(source, at)
+                end = source.find(">", closing.end()) if closing else -1
+                at = seek = end + 1 if end >= 0 else len(source)
+        yield source[at:], "text", "", ""
+
+
 class Forest:
     """The trees of several pages as arrays; parents come before children."""
 
@@ -78,73 +157,64 @@ class Forest:
         root = self.add(-1, "html", 0, "", 0, False, 0)
         self.roots.append(root)
         open_tags: list[tuple[str, int, bool, int]] = [("html", root, False, 0)]  # tag, node, in a link, gold
-        hidden, block, at, spaced = 0, 0, 0, -1  # spaced: the block in which white space stands before what follows
+        places: dict[str, list[int]] = {}  # of open tags in open_tags
+        bounds: list[int] = [0]
+        hidden, block, spaced = 0, 0, -1  # spaced: the block in which white space stands before what follows
 
         def close(k: int) -> None:
             nonlocal hidden, block
             for tag, *_ in open_tags[k:]:
                 hidden -= tag in HIDDEN
                 block += tag not in INLINE
+                places[tag].pop()
             del open_tags[k:]
-
-        def run(piece: str) -> None:
-            nonlocal spaced
-            if hidden or not piece:
-                return
-            if piece.isspace():
-                spaced = block
-                return
-            _, node, linked, gold = open_tags[-1]
-            text = html.unescape(piece)
-            self.add(node, "#text", 0, f" {text}" if spaced == block else text, block, linked, gold)
-            spaced = -1
-
-        while m := _TOKEN.search(source, at):
-            run(source[at : m.start()])
-            at = m.end()
-            if m[2] is None:
+            while bounds[-1] >= k:
+                bounds.pop()
+
+        for piece, kind, tag, attributes in Tags(source):
+            if piece and not hidden:
+                if piece.isspace():
+                    spaced = block
+                else:
+                    _, node, linked, gold = open_tags[-1]
+                    text = html.unescape(piece)
+                    self.add(node, "#text", 0, f" {text}" if spaced == block else text, block, linked, gold)
+                    spaced = -1
+            if kind == "text":
                 continue
-            tag = m[2].lower()
-            if m[1]:
-                for k in range(len(open_tags) - 1, 0, -1):
-                    if open_tags[k][0] == tag:
-                        close(k)
-                        break
+            if kind == "/":
+                if own := places.get(tag):
+                    close(own[-1])
                 continue
-            if tag in ("html", "body") and any(t == tag for t, *_ in open_tags[1:]) or tag == "html":
+            if tag == "html" or tag == "body" and places.get("body"):
                 continue
             if tag == "body":
-                for k in range(1, len(open_tags)):
-                    if open_tags[k][0] == "head":
-                        close(k)
-                        break
+                if own := places.get("head"):
+                    close(own[0])
             if targets := _CLOSES.get(tag):
-                for k in range(len(open_tags) - 1, 0, -1):
-                    if open_tags[k][0] in targets:
-                        close(k)
-                        break
-                    if open_tags[k][0] in _BOUND:
-                        break
+                nearest = max((own[-1] for x in targets if (own := places.get(x))), default=-1)
+                if nearest >= bounds[-1] and nearest > 0:
+                    close(nearest)
             if tag not in INLINE:
                 block += 1
-            if tag in VOID:
-                continue
-            if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else len(source)
+            if tag in VOID or tag in RAW:
                 continue
             named = 0
-            if "=" in m[3]:
-                for value in _NAME.findall(m[3]):
+            if "=" in attributes:
+                for value in _NAME.findall(attributes):
                     parts = set(_PART.findall(value.lower()))
                     named |= bool(parts & FOR) | 2 * bool(parts & AGAINST)
-            gold = _GOLD.search(m[3])
+            gold = _GOLD.search(attributes)
             _, parent, linked, above = open_tags[-1]
+            if self.depth[parent] >= DEEPEST:
+                parent = self.parent[parent]
             mark = int(gold[1]) if gold else above
             linked = linked or tag in ("a", "button")
+            places.setdefault(tag, []).append(len(open_tags))
+            if tag in _BOUND:
+                bounds.append(len(open_tags))
             open_tags.append((tag, self.add(parent, tag, named, "", block, linked, mark), linked, mark))
             hidden += tag in HIDDEN
-        run(source[at:])
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Parents, depths, and the nodes of each depth from 1 on."""
@@ -242,7 +312,14 @@ def train(pages: list[str], ridge: float = 0.5, rounds: int = 25, smooth: float
     return Model(w, np.log(given) - np.log(np.array([1 - share, share])))
 
 
-def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
+#: Elements around the content of a training page.
+LAYOUTS = (
+    ("<article{g}>", "</article>"), ("<article{g}>", "</article>"), ("<main{g}>", "</main>"), ("<main><article{g}>", "</article></main>"), ('<div class="content"{g}>', "</div>"), ('<div id="content"><div class="post"{g}>', "</div></div>"),
+    ('<div class="entry-content"{g}>', "</div>"), ('<section class="article-body"{g}>', "</section>"), ("<div{g}>", "</div>"), ('<div id="main"{g}>', "</div>"), ('<div class="wrap"><div{g}>', "</div></div>"),
+)
+
+
+def labelled_pages(n: int = 240, seed: int = 11, layouts: Sequence[tuple[str, str]] = LAYOUTS) -> list[str]:
     """Labelled training pages: layouts that sites use, filled with made-up words."""
     r = random.Random(seed)
     bits = "an be co di en for ga hi in ja ka lo me no on per qui re sa ti un ver wa xi yo zu th er ing tion ent ou le der sch".split()
@@ -320,12 +397,7 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
 
     pages = []
     for _ in range(n):
-        opening, ending = r.choice(
-            [
-                ("<article{g}>", "</article>"), ("<article{g}>", "</article>"), ("<main{g}>", "</main>"), ("<main><article{g}>", "</article></main>"), ('<div class="content"{g}>', "</div>"), ('<div id="content"><div class="post"{g}>', "</div></div>"),
-                ('<div class="entry-content"{g}>', "</div>"), ('<section class="article-body"{g}>', "</section>"), ("<div{g}>", "</div>"), ('<div id="main"{g}>', "</div>"), ('<div class="wrap"><div{g}>', "</div></div>"),
-            ]
-        )
+        opening, ending = r.choice(layouts)
         body = opening.format(g=' data-gold="1"') + content() + ending
         before = "".join(boilerplate(k) for k in ("header", "nav", "notice", "ad", "form", "aside") if r.random() < 0.5)
         after = "".join(boilerplate(k) for k in ("related", "comments", "aside", "ad", "form", "notice", "footer") if r.random() < 0.5)
@@ -360,8 +432,10 @@ def extract_pages(pages: DataFrame, model: Model | None = None, chars: int = 1_0
 
     Null and empty html gives an empty text, as does a page without content;
     nothing is dropped or cut. Unclosed and misnested tags are repaired as they
-    come. Repeated rows are extracted each; other columns are not read. No
-    shuffle; a task holds the trees of about ``chars`` characters at a time.
+    come, and elements nested deeper than ``DEEPEST`` hang on the one at that
+    depth. Repeated rows are extracted each; other columns are not read. No
+    shuffle; a task holds the trees of about ``chars`` characters at a time, and
+    takes time linear in a page, whatever its markup.
     """
     held = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
