@@ -18,7 +18,10 @@ def join_hot(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int,
     rows stay where they are; the others are joined by a shuffle. Null keys find
     no partner; a null weight counts as 0.
     """
-    hot = F.coalesce(F.col(weight), F.lit(0)) * HOT_PARTS > max(total, HOT_PARTS)
-    few = F.broadcast(keys.filter(hot).drop(weight))
-    rest = rows.join(few.select(on), on, "left_anti")
-    return rows.join(few, on).unionByName(rest.join(keys.filter(~hot).drop(weight), on, how))
+    hot = [r[on] for r in keys.filter(F.col(weight) * HOT_PARTS > max(total, HOT_PARTS)).select(on).collect()]
+    keys = keys.drop(weight)
+    if not hot:
+        return rows.join(keys, on, how)
+    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
+    few = rows.filter(is_hot).join(F.broadcast(keys.filter(is_hot)), on)
+    return few.unionByName(rows.filter(~is_hot).join(keys.filter(~is_hot), on, how))
