@@ -7,21 +7,17 @@ the Jaccard similarity of their sets reaches the threshold. The join:
    probability equal to their similarity. Equal sets are joined at once, by a
    digest, and one of each stays.
 2. Chosen paths: in each of ``trees`` independent trees documents branch by the
-   values of two selected tokens (one alone is shared by chance too often), then,
-   in nodes still larger than ``leaf``, by one more, and so on. In a small node
-   all pairs are candidates. In a large one every document is paired with the
-   node's smallest id only, a number of pairs linear in the node, and the node
-   branches further; so a group of thousands of near copies never becomes all
-   its pairs.
-   A first look links each document to one leader, on full sets; nodes that turn
-   out to be one component end there.
-3. Candidates are filtered by lengths and by the agreement of all tokens (a
-   pair at the threshold fails that with a probability below 1e-7), then
-   confirmed on the full sets.
-4. Branching ends at the deepest level that keeps the miss bound. Nodes that are
-   still large there and hold several components are compared exhaustively
-   between those components, in blocks of about ``BLOCK`` documents, whatever
-   their number; this is quadratic in such a node, as its pairs are.
+   values of two selected tokens; one alone is shared by chance too often.
+3. A first look pairs each document with one leader, the smallest id of the nodes
+   it is in most often, a number of pairs linear in the nodes; on full sets. It
+   makes most nodes one component, and those end there.
+4. Nodes with several components branch by one more token while they are larger
+   than ``leaf``. Where they end they are compared exhaustively, on full sets: a
+   node, or two blocks of a large one, is a group of a task, and what leaves the
+   task are the links that join components, fewer than the group has documents.
+   So a group of thousands of near copies never becomes all its pairs.
+5. Branching ends at the deepest level that keeps the miss bound. Nodes still
+   large there are compared in blocks, whatever their number.
 
 After k levels, k + 1 tokens, a pair at similarity s is missed by all trees with
 probability (1 - s^(k + 1))^trees: 5e-6 at the threshold of 0.8 after the first
@@ -37,21 +33,23 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.skew import join_hot
 from ..operators.graph import connected_components
 from .common import text_of, written
 from .tokens import blocks
 
 #: Minwise tokens of a set.
 TOKENS = 64
-#: Share of agreeing tokens below which a pair isn't confirmed; see above.
-LEAST_AGREEMENT = 0.5
 #: Probability up to which a pair at the threshold may be missed.
 MISS = 2e-4
-#: Documents of a block in the exhaustive comparison, about.
+#: Documents and shingles of a block in the exhaustive comparison, about; a longer document has a block of its own size.
 BLOCK = 512
+BLOCK_SHINGLES = 250_000
+#: Characters of texts that are turned into sets together, about.
+BLOCK_CHARS = 1_000_000
 #: Bits of the filter of candidates' ids; more candidates than about a tenth of it only let more texts pass.
 FILTER_BITS = 1 << 26
 
@@ -113,27 +111,35 @@ def minwise_tokens(values: np.ndarray) -> np.ndarray:
 
 
 def _sketches(documents: DataFrame, id_col: str, size: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, tokens, code) of every document row; code is 16 bits of each token."""
+    """(doc_id, n_shingles, digest, tokens) of every document row."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, BLOCK_CHARS):
                 sets = shingle_sets(texts[a:b], size)
                 tokens = np.array([minwise_tokens(x) for x in sets], np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         pa.array([len(x) for x in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
+                        pa.array([_digest(x) for x in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, TOKENS * (b - a + 1), TOKENS), pa.int32()), pa.array(tokens.ravel())),
-                        pa.array([x.tobytes() for x in tokens.astype(np.uint16)], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "tokens", "code"],
+                    names=["doc_id", "n_shingles", "digest", "tokens"],
                 )
 
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
-    return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>, code binary")
+    return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>")
+
+
+def _digest(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
+def _mark(digest: bytes) -> int:
+    """Four bytes of a digest, which tell apart the texts of an id that stands more than once."""
+    return int.from_bytes(digest[:4], "big")
 
 
 def deepest_level(percent: int, trees: int, levels: int, miss: float = MISS) -> int:
@@ -150,17 +156,24 @@ def _paths(tree: int, trees: int, levels: int) -> list[int]:
     return [(tree + k * trees) % TOKENS for k in range(levels + 1)]
 
 
-def _key_of(tree: int, level: int, trees: int, levels: int):
+def _key_of(tree: int, level: int, trees: int, levels: int) -> Column:
     tokens = [F.get(F.col("tokens"), F.lit(c)) for c in _paths(tree, trees, levels)[: level + 1]]
     return F.xxhash64(F.lit(tree), F.lit(level), *tokens)
 
 
-def _first_nodes(sets: DataFrame, trees: int, levels: int) -> DataFrame:
-    """(key, id, tree, size, leader) of the first level's nodes of two documents or more."""
-    key = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), _key_of(t, 1, trees, levels).alias("key")) for t in range(trees)])).alias("x")
-    rows = sets.select("id", key).select("id", "x.tree", "x.key")
-    nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).filter("size > 1")
-    return written(rows.join(nodes, "key"), "nodes")
+def _shared_nodes(sets: DataFrame, trees: int, levels: int) -> DataFrame:
+    """(key, id, mark, tree, leader) of the first level's nodes of two texts or more; the leader is the smallest id and its mark."""
+    keys = F.array(*[F.struct(F.lit(t).cast("byte").alias("tree"), _key_of(t, 1, trees, levels).alias("key")) for t in range(trees)])
+    rows = sets.select("id", "mark", F.explode(keys).alias("x")).select("id", "mark", "x.tree", "x.key")
+    nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "mark")).alias("leader")).filter("size > 1")
+    return written(join_hot(rows, written(nodes, "shared"), "key", "size", trees * sets.count()), "nodes")
+
+
+def _leaders(nodes: DataFrame) -> DataFrame:
+    """(a, ma, b, mb): each text with the leader of most of its nodes, of equally frequent ones the smallest."""
+    led = nodes.filter("leader.id < id").groupBy("id", "mark", "leader").agg(F.count("*").alias("k"))
+    best = led.groupBy("id", "mark").agg(F.min(F.struct((-F.col("k")).alias("k"), "leader")).alias("x"))
+    return best.select(F.col("x.leader.id").alias("a"), F.col("x.leader.mark").alias("ma"), F.col("id").alias("b"), F.col("mark").alias("mb"))
 
 
 def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -169,112 +182,97 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("c", F.coalesce("c", "id"))
 
 
-def _candidates(first: DataFrame, sets: DataFrame, found: DataFrame, trees: int, levels: int, leaf: int) -> tuple[DataFrame, DataFrame | None]:
-    """(a, b) with a < b of all trees, and the rows of nodes still large at the last level.
+def _open_nodes(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, n, c, ...) of nodes that hold several components, with the node's ``size`` and ``weight``, the sum of n.
 
     Nodes whose documents are one component already have nothing to add and end.
     """
+    rows = written(rows, "rows")
+    nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.count("*").alias("held"), F.sum("n").alias("weight"), F.min("c").alias("low"), F.max("c").alias("high"))
+    mixed = written(nodes.filter("low <> high").drop("low", "high"), "mixed")
+    return written(join_hot(rows, mixed, "key", "held", rows.count()), "open")
 
-    def noded(rows: DataFrame) -> DataFrame:
-        nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "c")).alias("leader"), F.min("c").alias("low"), F.max("c").alias("high"))
-        open_nodes = nodes.filter("low <> high").select("key", "size", F.col("leader.id").alias("leader"), F.col("leader.c").alias("leader_c"))
-        return written(rows.join(open_nodes, "key"), "nodes")
 
-    rows = noded(_named(first.select("id", "tree", "key"), found))
-    pairs: list[DataFrame] = []
+def _ended_nodes(nodes: DataFrame, sets: DataFrame, found: DataFrame, trees: int, levels: int, leaf: int) -> DataFrame:
+    """Open nodes (key, id, mark, c, size, weight) where branching ends: small ones, and all of the last level."""
+    ended: list[DataFrame] = []
+    rows = _named(nodes.select("id", "mark", "tree", "key"), found)
     for level in range(1, levels + 1):
-        small = rows.filter(F.col("size") <= leaf)
-        left, right = small.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), small.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-        large = rows.filter(F.col("size") > leaf)
-        starred = large.filter("c <> leader_c").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        pairs.append(written(left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").unionByName(starred).distinct(), "pairs"))
-        if large.isEmpty():
-            return reduce(DataFrame.unionByName, pairs), None
-        if level == levels:
-            return reduce(DataFrame.unionByName, pairs), large
-        if level == 1:
-            # The deeper keys of documents in open large nodes only.
-            deeper = F.array(*[F.when(F.col("tree") == t, F.array(*[_key_of(t, k, trees, levels) for k in range(2, levels + 1)])) for t in range(trees)])
-            keys = F.get(deeper, F.col("tree")).alias("keys")
-            rows = noded(large.select("id", "tree", "c").join(sets.select("id", "tokens"), "id").select("id", "tree", "c", keys).withColumn("key", F.get("keys", F.lit(0))))
-        else:
-            rows = noded(large.select("id", "tree", "c", "keys", F.get("keys", F.lit(level - 1)).alias("key")))
-    raise ValueError("levels must be 1 or more")
-
-
-def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, agree): distinct pairs whose lengths and tokens allow the threshold."""
-    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("code").alias("ta"))
-    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("code").alias("tb"))
-    lengths = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    both = pairs.distinct().join(one, "a").join(two, "b").filter(lengths).select("a", "b", "ta", "tb")
-
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, TOKENS) for c in ("ta", "tb"))
-            agree = (x == y).sum(1).astype(np.int32)
-            keep = pa.array(agree >= LEAST_AGREEMENT * TOKENS)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(agree).filter(keep)], names=["a", "b", "agree"])
-
-    return both.mapInArrow(agreeing, "a long, b long, agree int")
-
-
-def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of different components in a node whose lengths and tokens allow the threshold.
-
-    ``rows`` has key, id, c and size. Every two blocks of a node meet in one group
-    of a bounded size, so a large node is dealt over many tasks, and only
-    plausible pairs become rows.
+        own = ["id", "mark", "n"] if level == 1 else ["id", "mark", "n", "tokens"]
+        known = rows.join(sets.select(*own), ["id", "mark"])
+        if level > 1:
+            keys = F.array(*[_key_of(t, level, trees, levels) for t in range(trees)])
+            known = known.withColumn("key", F.get(keys, F.col("tree").cast("int")))
+        opened = _open_nodes(known.select("id", "mark", "tree", "key", "n", "c"))
+        large = opened.filter(F.col("size") > leaf)
+        if level == levels or large.isEmpty():
+            ended.append(opened)
+            break
+        ended.append(opened.filter(F.col("size") <= leaf))
+        rows = large.select("id", "mark", "tree", "c")
+    return reduce(DataFrame.unionByName, ended).select("key", "id", "mark", "c", "size", "weight")
+
+
+def joining_links(ids: np.ndarray, components: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (left, right) of ids at the threshold, as many as it takes to join the components that such pairs join.
+
+    Sets are sorted distinct values; ``left`` and ``right`` are places in them, the
+    same ones or none in common. Each set of the left is counted against all of
+    the right at once.
     """
-    blocks_in = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), blocks_in).cast("int")
-    known = rows.join(sets.select("id", "n", "code"), "id").withColumn("block", own)
-    dealt = known.select("key", "id", "c", "n", "code", "block", F.explode(F.sequence(F.lit(0), blocks_in - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "c", "n", "code")
+    n = np.array([len(x) for x in sets], np.int64)
+    values, spots = np.unique(np.concatenate([sets[j] for j in right]), return_inverse=True)
+    starts = np.cumsum(n[right]) - n[right]
+    group = np.unique(components, return_inverse=True)[1]
+    mark = np.zeros(len(values) + 1, np.int32)
+    out: list[tuple[int, int]] = []
+    for i in left:
+        near = (group[right] != group[i]) & (100 * np.minimum(n[i], n[right]) >= percent * np.maximum(n[i], n[right]))
+        if not near.any():
+            continue
+        at = np.searchsorted(values, sets[i])
+        at = np.where(values[np.minimum(at, len(values) - 1)] == sets[i], at, len(values))
+        mark[at] = 1
+        shared = np.add.reduceat(mark[spots], starts)
+        mark[at] = 0
+        for j in right[near & (100 * shared >= percent * (n[i] + n[right] - shared))]:
+            if group[i] != group[j]:
+                group[group == group[j]] = group[i]
+                out.append((ids[i], ids[j]))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _compared(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(src, dst): links that join the components within each node of ``rows``, on full sets.
+
+    A node of more than about ``BLOCK`` documents or ``BLOCK_SHINGLES`` shingles is
+    dealt into blocks, and every two of them meet in one group, so a group is
+    bounded and a large node is spread over many tasks.
+    """
+    parts = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    dealt = rows.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("id", "mark", F.lit(7)), F.col("parts")).cast("int"))
+    dealt = dealt.join(full, ["id", "mark"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "c", "values")
 
     def compared(group: pa.Table) -> pa.Table:
-        ids, c, n, block = (group.column(x).to_numpy() for x in ("id", "c", "n", "block"))
-        codes = np.frombuffer(b"".join(group.column("code").to_pylist()), np.uint16).reshape(-1, TOKENS)
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        ids, components, block = (group.column(x).to_numpy() for x in ("id", "c", "block"))
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("values")]
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
-        for at in range(0, len(left), 64):
-            mine = left[at : at + 64]
-            x, y = mine[:, None], right[None, :]
-            hit = (c[x] != c[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-            if low == high:
-                hit &= ids[x] < ids[y]
-            i, j = np.nonzero(hit)
-            for k in range(0, len(i), 1 << 16):
-                a, b = mine[i[k : k + (1 << 16)]], right[j[k : k + (1 << 16)]]
-                keep = (codes[a] == codes[b]).sum(1) >= LEAST_AGREEMENT * TOKENS
-                found.append(np.column_stack([ids[a[keep]], ids[b[keep]]]))
-        both = np.sort(np.concatenate(found), axis=1)
-        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
-
-    return dealt.groupBy("key", "low", "high").applyInArrow(compared, "a long, b long").distinct()
-
-
-def _narrow(values: np.ndarray) -> bytes:
-    """The low 48 bits of each hash: a quarter less to move, and still less than one wrong match in 1e7 pairs of long documents."""
-    return np.unique(values & np.uint64((1 << 48) - 1)).view(np.uint16).reshape(-1, 4)[:, :3].tobytes()
-
+        found = joining_links(ids, components, sets, left, right, percent) if len(left) and len(right) else np.zeros((0, 2), np.int64)
+        return pa.table({"src": pa.array(found[:, 0], pa.int64()), "dst": pa.array(found[:, 1], pa.int64())})
 
-def _wide(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 4), np.uint16)
-    out[:, :3] = np.frombuffer(raw, np.uint16).reshape(-1, 3)
-    return out.view(np.uint64).ravel()
+    return dealt.groupBy("key", "low", "high").applyInArrow(compared, "src long, dst long")
 
 
-def _full_sets(documents: DataFrame, id_col: str, size: int, pairs: DataFrame) -> DataFrame:
-    """(id, values) of the documents in ``pairs``, and of few others.
+def _full_sets(documents: DataFrame, id_col: str, size: int, ids: DataFrame) -> DataFrame:
+    """(id, mark, values) of the documents in ``ids``, and of few others; one row of each text.
 
     A bitmap of hashed ids, of ``FILTER_BITS`` bits whatever the table, is built
     by Spark and shipped; texts are filtered and turned into sets where they are
-    read, so no text is shuffled. What passes by chance finds no pair later.
+    read, so no text is shuffled. What passes by chance finds no partner later.
     """
     spot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     marks = ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
     held = np.zeros(FILTER_BITS // 8, np.uint8)
     for bucket, bits in marks.toLocalIterator():
@@ -286,45 +284,34 @@ def _full_sets(documents: DataFrame, id_col: str, size: int, pairs: DataFrame) -
             at = batch.column("spot").to_numpy() - 1
             some = batch.filter(pa.array(shipped.value[at >> 3] >> (at & 7) & 1 > 0))
             texts = some.column("text").to_pylist()
-            for a, b in blocks(texts):
-                values = pa.array([_narrow(x) for x in shingle_sets(texts[a:b], size)], pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column("id").slice(a, b - a), values], names=["id", "values"])
+            for a, b in blocks(texts, BLOCK_CHARS):
+                sets = shingle_sets(texts[a:b], size)
+                columns = [some.column("id").slice(a, b - a), pa.array([_mark(_digest(x)) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "values"])
 
-    texts = text_of(documents, F.col(id_col).cast("long").alias("id"))
-    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(valued, "id long, values binary"), "full-sets")
+    texts = text_of(documents, F.col(id_col).cast("long").alias("id")).filter("id is not null")
+    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(valued, "id long, mark long, values binary"), "full-sets")
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """(src, dst) of the pairs whose full sets reach the threshold."""
-    joined = pairs.join(full.select(F.col("id").alias("a"), F.col("values").alias("va")), "a").join(full.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
+    """(src, dst) of the pairs (a, ma, b, mb) whose full sets reach the threshold."""
+    one, two = (full.select(F.col("id").alias(x), F.col("mark").alias(f"m{x}"), F.col("values").alias(f"v{x}")) for x in "ab")
+    joined = pairs.join(one, ["a", "ma"]).join(two, ["b", "mb"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("va"), batch.column("vb"), strict=True):
-                x, y = _wide(x.as_py()), _wide(y.as_py())
-                shared = len(np.intersect1d(x, y, assume_unique=True))
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["src", "dst"])
 
-    return written(joined.select("a", "b", "va", "vb").mapInArrow(compared, "src long, dst long"), "links")
-
-
-def _roots(parents: DataFrame) -> DataFrame:
-    """(id, component) of a forest given by (id, component) with the parent, a smaller id, as component.
-
-    Every round doubles the way to the root. Roots themselves have no row.
-    """
-    while True:
-        up = parents.select(F.col("id").alias("component"), F.col("component").alias("above"))
-        joined = written(parents.join(up, "component", "left").select("id", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved")), "roots")
-        parents = joined.select("id", "component")
-        if joined.filter("moved").isEmpty():
-            return parents
+    return joined.select("a", "b", "va", "vb").mapInArrow(compared, "src long, dst long")
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 12, levels: int = 8, leaf: int = 4) -> DataFrame:
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 12, levels: int = 8, leaf: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document row.
 
     Linked documents have 100 * intersection >= ``percent`` * union of their
@@ -333,39 +320,41 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
 
     Null and empty texts and texts without words have an empty set and no links.
     Equal sets are linked whatever their number. Rows that repeat an id are one
-    vertex. Only the id and the text are read; an empty table gives no rows.
-
-    Shuffled are sketches (about 400 bytes a document), node rows (16 bytes a
-    document and tree) and the full sets of candidates; texts are not.
-    Of pairs at the threshold at most ``MISS`` are missed: nodes branch down to
-    ``deepest_level``, ``levels`` at most, and are compared exhaustively there.
+    vertex, linked with what any of their texts is linked with; those without
+    words stay alone. A row without an id takes no part: its component is null and
+    it is kept. Only the id and the
+    text are read; an empty table gives no rows.
+
+    Shuffled are sketches (about 300 bytes a document), node rows (40 bytes a
+    document and tree) and the full sets of candidates; texts are not. Links are
+    confirmed on the 64-bit hashes of all shingles, of which two texts of a
+    million shingles have a false match with a probability below 1e-7. Of pairs at
+    the threshold at most ``MISS`` are missed: nodes larger than ``leaf`` branch
+    down to ``deepest_level``, ``levels`` at most, and all are compared
+    exhaustively where they end.
     """
     levels = deepest_level(percent, trees, levels)
     sketches = written(_sketches(documents, id_col, size), "sketches")
-    groups = sketches.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
-    own = sketches.select("digest", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "tokens", "code")
-    sets = written(groups.join(own, ["digest", "id"]).select("id", "n", "tokens", "code"), "sets")
-    first = _first_nodes(sets, trees, levels)
-    # A first look at large nodes, one pair a document, makes most of them one component.
-    starred = first.filter(F.col("size") > leaf).groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).filter("a < b").select("a", "b")
-    likely = written(_plausible(starred, sets, percent), "likely")
-    links = _confirmed(likely.select("a", "b"), _full_sets(documents, id_col, size, likely), percent)
-    found = _roots(links.groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("component")))
-
-    pairs, large = _candidates(first, sets, found, trees, levels, leaf)
-    likely = written(_plausible(pairs, sets, percent), "likely")
-    links = links.unionByName(_confirmed(likely.select("a", "b"), _full_sets(documents, id_col, size, likely), percent))
+    known = sketches.filter("n_shingles > 0 and doc_id is not null")
+    first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "tokens")).alias("x"), F.count("*").alias("copies"))
+    mark = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    sets = written(first.select("digest", "copies", F.col("x.doc_id").alias("id"), mark.alias("mark"), F.col("x.n_shingles").alias("n"), "x.tokens"), "sets")
+    nodes = _shared_nodes(sets, trees, levels)
+    full = _full_sets(documents, id_col, size, nodes.select("id"))
+
+    # The texts of an id that stands more than once are one vertex.
+    groups = sets.select("digest", "copies", "id")
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id")
+    several = known.select("doc_id", "digest").join(several, "doc_id").distinct().join(groups, "digest").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
+
+    links = written(_confirmed(_leaders(nodes), full, percent).unionByName(several), "links")
     found = written(connected_components(links), "components")
-    if large is not None:
-        named = _named(large.select("key", "id", "size"), found)
-        mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-        open_rows = written(named.join(mixed, "key", "left_semi"), "open")
-        last = written(_across(open_rows, sets, percent).join(likely, ["a", "b"], "left_anti"), "likely")
-        if not last.isEmpty():
-            links = links.unionByName(_confirmed(last.select("a", "b"), _full_sets(documents, id_col, size, last), percent))
-            found = written(connected_components(links), "components")
-    named = sketches.select("doc_id", "n_shingles", "digest").join(groups.select("digest", F.col("id").alias("first")), "digest", "left")
-    first_id = F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id"))
-    placed = named.select("doc_id", "n_shingles", first_id.alias("first")).join(found.select(F.col("id").alias("first"), "component"), "first", "left")
-    component = F.coalesce("component", "first")
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    more = written(_compared(_ended_nodes(nodes, sets, found, trees, levels, leaf), full, percent), "links")
+    if not more.isEmpty():
+        found = written(connected_components(found.toDF("src", "dst").unionByName(more)), "components")
+
+    named = written(groups.join(found, "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("component")), "named")
+    placed = join_hot(known.select("doc_id", "n_shingles", "digest"), named, "digest", "copies", sketches.count())
+    alone = sketches.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
+    rows = placed.select("doc_id", "n_shingles", "component").unionByName(alone)
+    return rows.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
