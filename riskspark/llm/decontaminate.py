@@ -21,16 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import text_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Byte by byte: A-Z to a-z, other ASCII beside digits and a-z to space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: Characters of item texts in one automaton; more items take further passes.
+#: Characters of item texts in one automaton, about 600 MB at most; a larger benchmark has several, held one at a time.
 BLOCK_CHARS = 1_000_000
+#: Characters of texts that a task holds while it goes through several automata.
+HELD_CHARS = 32_000_000
 
 _TAGS = count()
-_AUTOMATA: dict[int, tuple] = {}
+_AUTOMATA: dict[tuple[int, int], object] = {}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -47,83 +49,125 @@ def windows_of(items: list[tuple[str, str]], window: int) -> dict[str, tuple[int
     return {k: (k.count(" ") - 1, list(v)) for k, v in found.items()}
 
 
-def _automaton(tag: int, items: list[tuple[str, str]], window: int):
-    """The automaton of this Python process; None if no item has a word."""
+def _automaton(tag: tuple[int, int], items: list[tuple[str, str]], window: int):
+    """The automaton that this Python process holds; None if no item has a word."""
     if tag not in _AUTOMATA:
+        _AUTOMATA.clear()
         import ahocorasick
 
         found = ahocorasick.Automaton()
         for key, value in windows_of(items, window).items():
             found.add_word(key, value)
         found.make_automaton()
-        _AUTOMATA.clear()
         _AUTOMATA[tag] = found if len(found) else None
     return _AUTOMATA[tag]
 
 
-def _scan(text: str, automaton) -> tuple[int, list[tuple[int, int]], list[str]]:
-    """Number of words, hit word ranges (merged, end exclusive) and item ids."""
+def _matches(text: str, automaton) -> tuple[int, list[tuple[int, int, list[str]]]]:
+    """Number of words, and (first word, end, item ids) of each window found."""
     words = words_of(text)
     if not words or automaton is None:
-        return len(words), [], []
+        return len(words), []
     line = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
     found = list(automaton.iter(line))
     if not found:
-        return len(words), [], []
+        return len(words), []
     spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4") == 32)
-    items: set[str] = set()
-    merged: list[list[int]] = []
-    for end, (at, (n, ids)) in sorted(zip(np.searchsorted(spaces, [e for e, _ in found]).tolist(), found, strict=True), key=lambda x: x[0] - x[1][1][0]):
-        items.update(ids)
-        if merged and end - n <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], end)
+    ends = np.searchsorted(spaces, [e for e, _ in found]).tolist()
+    return len(words), [(end - n, end, ids) for end, (_, (n, ids)) in zip(ends, found, strict=True)]
+
+
+def _merged(found: list[tuple[int, int, list[str]]]) -> tuple[list[tuple[int, int]], list[str]]:
+    """Hit word ranges, merged, end exclusive, and item ids, sorted."""
+    ranges: list[list[int]] = []
+    for first, end, _ in sorted(found):
+        if ranges and first <= ranges[-1][1]:
+            ranges[-1][1] = max(ranges[-1][1], end)
         else:
-            merged.append([end - n, end])
-    return len(words), [tuple(x) for x in merged], sorted(items)
+            ranges.append([first, end])
+    return [tuple(x) for x in ranges], sorted({i for *_, ids in found for i in ids})
+
+
+class Scanner:
+    """The blocks of a benchmark's items, and the scan of texts against them all."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_chars: int):
+        items = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
+        size = items.agg(F.sum(F.char_length("text")).alias("n")).first()["n"] or 0
+        parts = -(-size // block_chars) or 1
+        self.window, self.tag = window, next(_TAGS)
+        block = F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int")
+        self.blocks: list[list[tuple[str, str]]] = [[] for _ in range(parts)]
+        for r in items.select(block.alias("block"), "item", "text").toLocalIterator():
+            self.blocks[r["block"]].append((r["item"], r["text"]))
+
+    def scan(self, texts: list[str]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+        """(number of words, hit word ranges, item ids) of each text."""
+        n_words, found = [0] * len(texts), [[] for _ in texts]
+        for k, block in enumerate(self.blocks):
+            automaton = _automaton((self.tag, k), block, self.window)
+            for i, text in enumerate(texts):
+                n_words[i], more = _matches(text, automaton)
+                found[i] += more
+        return [(n, *_merged(x)) for n, x in zip(n_words, found, strict=True)]
+
+    def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+        """Each batch with the scans of its texts; with several blocks many batches are scanned together."""
+        held: list[tuple[pa.RecordBatch, list[str]]] = []
+        most = 0 if len(self.blocks) == 1 else HELD_CHARS
+
+        def scanned() -> Iterator[tuple[pa.RecordBatch, list]]:
+            scans = iter(self.scan([t for _, texts in held for t in texts]))
+            for batch, texts in held:
+                yield batch, [next(scans) for _ in texts]
+            held.clear()
+
+        for batch in batches:
+            held.append((batch, [x or "" for x in batch.column("text").to_pylist()]))
+            if sum(len(t) for _, texts in held for t in texts) >= most:
+                yield from scanned()
+        if held:
+            yield from scanned()
 
 
 HITS = "n_words long, hits array<struct<first:bigint,last:bigint>>, items array<string>"
 
 
-def scan_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", keep: tuple[str, ...] = (), block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Documents with ``n_words``, ``hits`` (word ranges, end exclusive) and ``items``.
+def scan_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(id, text, n_words, hits, items) of every document row; hits are word ranges, end exclusive.
 
     Null and empty texts have no words and no hits; items without words or with a
-    null id have no windows; repeated rows are each scanned. Keeps the id, the
-    text and the columns ``keep``; others are not read.
-
-    No shuffle. The items of a block are held by every task; their size is
-    measured first, and a larger benchmark is cut by item into blocks that take
-    a pass each, with one automaton at a time in memory.
+    null id have no windows; repeated rows are each scanned. Other columns are not
+    read.
+
+    No shuffle, and texts are read once. Tasks hold the items, whose size is
+    measured first. Items of up to ``block_chars`` characters are one automaton;
+    more are cut by item into blocks, and a task builds one automaton after the
+    other for every ``HELD_CHARS`` characters of its texts, so memory is bounded
+    and texts aren't written again.
     """
-    items = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
-    size = items.agg(F.sum(F.char_length("text")).alias("n")).first()["n"] or 0
-    passes = -(-size // block_chars) or 1
-    names = [id_col, *keep, "text"]
-    df = documents.select(*names, F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<first:bigint,last:bigint>>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    kinds = df.schema
-    for k in range(passes):
-        block = [(r["item"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).toLocalIterator()]
-        held = documents.sparkSession.sparkContext.broadcast((next(_TAGS), block))
-
-        def scanned(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            tag, block = held.value
-            automaton = _automaton(tag, block, window)
-            for batch in batches:
-                at = batch.schema.get_field_index("text")
-                n_words, hits, items = [], [], []
-                for text, old_hits, old_items in zip(batch.column(at), batch.column(at + 2).to_pylist(), batch.column(at + 3).to_pylist(), strict=True):
-                    n, ranges, ids = _scan(text.as_py() or "", automaton)
-                    n_words.append(n)
-                    hits.append([*old_hits, *({"first": a, "last": b} for a, b in ranges)])
-                    items.append([*old_items, *ids])
-                columns = [pa.array(n_words, pa.int64()), pa.array(hits, batch.schema.field(at + 2).type), pa.array(items, batch.schema.field(at + 3).type)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: at + 1], *columns], names=batch.schema.names)
-
-        df = df.mapInArrow(scanned, kinds)
-        if k < passes - 1:
-            df = written(df, "scan")
-    return df
+    held = documents.sparkSession.sparkContext.broadcast(Scanner(benchmark, window, block_chars))
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, scans in held.value.batches(batches):
+            hits = [[{"first": a, "last": b} for a, b in ranges] for _, ranges, _ in scans]
+            kinds = (pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string()))
+            own = [pa.array(c, t) for c, t in zip(([n for n, *_ in scans], hits, [x[2] for x in scans]), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "n_words", "hits", "items"])
+
+    read = documents.select(id_col, "text")
+    return read.mapInArrow(scanned, f"`{id_col}` {read.schema[id_col].dataType.simpleString()}, text string, {HITS}")
+
+
+def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``documents`` without a hit, with all their columns; see ``scan_benchmark``."""
+    held = documents.sparkSession.sparkContext.broadcast(Scanner(benchmark, window, block_chars))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, scans in held.value.batches(batches):
+            yield batch.filter(pa.array([not ranges for _, ranges, _ in scans], pa.bool_()))
+
+    return documents.mapInArrow(kept, documents.schema)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id") -> DataFrame:
@@ -135,8 +179,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, n_words, hits, items = (batch.column(i).to_pylist() for i in range(4))
-            n_hit = [0 if not h else len(set().union(*(range(x["first"], x["last"]) for x in h))) for h in hits]
-            ids = [sorted(set(x)) for x in items]
+            n_hit = [sum(x["last"] - x["first"] for x in h) for h in hits]
+            ids = items
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),

@@ -3,8 +3,8 @@
 Each text becomes a vector of transformed statistics. Each class is a Gaussian
 whose covariance is shrunk towards the pooled one and then towards a multiple of
 the identity; the score is the posterior of class 1 from the difference of the
-log-densities, with Mahalanobis distances by each class's Cholesky factor, which
-is computed once and shipped.
+log-densities, with Mahalanobis distances by each class's Cholesky factor, whose
+inverse is computed once and shipped.
 """
 
 from __future__ import annotations
@@ -82,12 +82,12 @@ def document_statistics(documents: DataFrame, *keep: str) -> DataFrame:
 
 @dataclass
 class Discriminant:
-    """Two Gaussian classes over standardised statistics."""
+    """Two Gaussian classes over standardised statistics; the inverses are those of their Cholesky factors."""
 
     centre: np.ndarray
     scale: np.ndarray
     means: np.ndarray
-    factors: np.ndarray
+    inverses: np.ndarray
     offsets: np.ndarray
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -95,8 +95,8 @@ class Discriminant:
         z = (x - self.centre) / self.scale
         logs = []
         for k in (0, 1):
-            away = np.linalg.solve(self.factors[k], (z - self.means[k]).T)
-            logs.append(self.offsets[k] - 0.5 * (away**2).sum(0))
+            away = (z - self.means[k]) @ self.inverses[k].T
+            logs.append(self.offsets[k] - 0.5 * (away**2).sum(1))
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
 
 
@@ -120,13 +120,14 @@ def fit(labelled: DataFrame, label: Column, to_pooled: float = 0.6, to_identity:
     means = (s / n[:, None] - centre) / scale
     within = (p / n[:, None, None] - np.einsum("ki,kj->kij", s / n[:, None], s / n[:, None])) / np.outer(scale, scale)
     pooled = (within * n[:, None, None]).sum(0) / n.sum()
-    factors, offsets = [], []
+    inverses, offsets = [], []
     for k in (0, 1):
         cov = (1 - to_pooled) * within[k] + to_pooled * pooled
         cov = (1 - to_identity) * cov + to_identity * max(np.trace(cov) / d, 1e-6) * np.eye(d)
-        factors.append(np.linalg.cholesky(cov))
-        offsets.append(np.log(n[k] / n.sum()) - np.log(np.diagonal(factors[-1])).sum())
-    return Discriminant(centre, scale, means, np.array(factors), np.array(offsets))
+        factor = np.linalg.cholesky(cov)
+        inverses.append(np.linalg.inv(factor))
+        offsets.append(np.log(n[k] / n.sum()) - np.log(np.diagonal(factor)).sum())
+    return Discriminant(centre, scale, means, np.array(inverses), np.array(offsets))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
