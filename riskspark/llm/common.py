@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lineage import shared_dir, written
 
-__all__ = ["lower_ascii", "shared_dir", "table", "text_of", "written"]
+__all__ = ["bound", "lower_ascii", "places", "running_sums", "shared_dir", "table", "text_of", "written"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -29,3 +31,45 @@ def lower_ascii(c: Column) -> Column:
     used where a text has none.
     """
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, ASCII_UPPER, ASCII_LOWER))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each element of an array<int> the sum of those before it.
+
+    Sums run within chunks of about the square root of the length and then over
+    the chunks, so that no long array is copied for every element.
+    """
+
+    def scan(xs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    def summed(xs: Column) -> Column:
+        width = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(xs)))).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")), lambda i: scan(F.slice(xs, i * width + 1, width)))
+        placed = bound(chunks, lambda own: F.zip_with(own, scan(F.transform(own, lambda c: c["at"]))["out"], lambda c, base: F.transform(c["out"], lambda x: x + base)))
+        return F.when(F.size(xs) > 0, F.flatten(placed)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    return bound(numbers, summed)
+
+
+def places(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, found>> of all matches, leftmost and not overlapping, in code points."""
+
+    def located(both: Column) -> Column:
+        lengths = F.transform(both, lambda x: F.char_length(x["piece"]) + F.char_length(x["found"]))
+
+        def span(x: Column, before: Column) -> Column:
+            first = before + F.char_length(x["piece"])
+            return F.struct(first.alias("start"), (first + F.char_length(x["found"])).alias("end"), x["found"].alias("found"))
+
+        return F.zip_with(both, running_sums(lengths), span)
+
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), matches.alias("found"))
+    return bound(F.filter(both, lambda x: x["found"].isNotNull()), located)
