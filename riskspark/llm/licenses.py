@@ -1,25 +1,27 @@
 """License scans: phrases, and an exact set-similarity join with license templates.
 
-A block is a line of the text; its set is its distinct words. A block matches a
-template when it holds at least ``threshold`` of the template's words. The join
-is exact and needs no comparison of all blocks with all templates:
+A block is a line of the text, or a window of as many words as a template needs
+at the threshold, which may run over line breaks. A block matches a template when
+it holds at least ``threshold`` of the template's distinct words. The join is
+exact and needs no comparison of all blocks with all templates:
 
 * tokens are ordered by their frequency over all blocks, rarest first, ties by
   the token itself;
 * prefix filter: with T tokens in a template and o = ceil(threshold T) needed, a
-  match holds one of the template's T - o + 1 rarest tokens;
-* length filter: a block of fewer than o distinct words cannot match;
-* positional filter: if the first template token that a block shares stands at
-  place i of the template and place j of the block's own template-vocabulary
-  order, at most 1 + min(tokens after i, tokens after j) are shared.
-
-What passes is verified on full sets. The templates are a given, small set; their
-index is a literal table in the plan, and only blocks that hold a prefix token
-are expanded. Each line gives the label of the template that it holds best.
-
-Notices are also sought by place, over line breaks: a window of a template's
-length over the threshold, in words, is a block too. Matches at one place compete,
-and the best stays; matches at different places all count, so a line or a text
+  match holds one of the template's T - o + 1 rarest tokens. The templates'
+  prefixes are an indexed table, token to templates, and blocks are joined with it
+  by their tokens;
+* length filter: a block of fewer than o template words cannot match;
+* positional filter: if the first template token that a block holds stands at
+  place i of the template and place j of the block in that order, at most
+  1 + min(tokens after i, tokens after j) are shared.
+
+What passes is verified on full sets. Only blocks near an anchor are formed: a
+match lacks at most T - o of a template's words, so it holds one of any T - o + 1,
+of which the longest are the template's anchors.
+
+A line gives the template that it holds best. Windows that overlap compete, the
+best stays, and windows at different places all count, so a line or a text
 without line feeds may give several labels. A line's label is dropped where a
 better match that runs over its end took the place. Only DataFrame functions
 touch rows.
@@ -31,14 +33,12 @@ import math
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, text_of, written
+from .common import bound, lower_ascii, text_of, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same in a text not yet in lower case.
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrases that are places of their own, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Notices in words of this library, with the label that a match gives.
@@ -61,9 +61,14 @@ TEMPLATES = (
     ("cc-by", "this work is licensed under a creative commons attribution license"),
     ("cc0", "dedicated to the public domain under cc0"),
     ("reserved", "copyright all rights reserved"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.8
+#: Rows of the prefix index up to which it is broadcast.
+MOST_BROADCAST = 1_000_000
 
 
 def template_words(text: str) -> list[str]:
@@ -74,23 +79,10 @@ def needed_words(size: int, threshold: float) -> int:
     return math.ceil(threshold * size - 1e-9)
 
 
-def anchors(threshold: float) -> list[str]:
-    """Strings of which every block that matches some template holds one.
-
-    A match misses at most T - o of a template's words, so it has one of any
-    T - o + 1; the longest are taken, as they are rare.
-    """
-    found: set[str] = set()
-    for _, text in TEMPLATES:
-        words = sorted(template_words(text), key=lambda w: (-len(w), w))
-        found.update(words[: len(words) - needed_words(len(words), threshold) + 1])
-    return sorted(w for w in found if not any(x != w and x in w for x in found))
-
-
-def anchor_words(threshold: float) -> list[str]:
-    """Words of which every window that matches some template holds one, as in ``anchors``."""
+def anchor_words(templates: list[tuple[str, str]], threshold: float) -> list[str]:
+    """Words of which every block that matches some template holds one."""
     found: set[str] = set()
-    for _, text in TEMPLATES:
+    for _, text in templates:
         words = sorted(template_words(text), key=lambda w: (-len(w), w))
         found.update(words[: len(words) - needed_words(len(words), threshold) + 1])
     return sorted(found)
@@ -101,178 +93,154 @@ def window_words(text: str, threshold: float) -> int:
     return math.ceil(len(re.findall(WORD, text.lower())) / threshold - 1e-9)
 
 
-def _literals(words: list[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
-def contexts_of(words: Column, threshold: float) -> Column:
-    """array<struct<start, words>>: the words around each anchor word, where these hold enough words of a template."""
-    reach = max(window_words(text, threshold) for _, text in TEMPLATES) - 1
-    held = _literals(anchor_words(threshold))
-    sets = [template_words(text) for _, text in TEMPLATES]
-
-    def shaped(w: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(held, F.get(w, i)))
-        around = F.transform(at, lambda i: F.struct(F.greatest(i - reach, F.lit(0)).alias("start"), F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("words")))
-        return F.filter(around, lambda x: reduce(lambda a, b: a | b, [F.size(F.array_intersect(_literals(t), x["words"])) >= needed_words(len(t), threshold) for t in sets]))
-
-    return F.get(F.transform(F.array(words), shaped), F.lit(0))
-
-
-PLACES = "array<struct<share:double,size:int,label:string,tight:int,start:int,end:int>>"
-
-
-def places_of(context: Column, threshold: float) -> Column:
-    """All windows of a context that match a template, from their first to their last word that counts."""
-
-    def of_template(label: str, text: str) -> Column:
-        words, width = template_words(text), window_words(text, threshold)
-        size, needed, own = len(words), needed_words(len(words), threshold), _literals(words)
+def phrase_places(words: Column) -> Column:
+    """array<struct<at, label>> of the places where a phrase's words stand consecutively."""
+    none = F.expr("cast(array() as array<struct<at:bigint,label:string>>)")
 
-        def shared(i: Column, n: Column) -> Column:
-            return F.size(F.array_intersect(own, F.slice(context["words"], i + 1, n)))
+    def places_of(phrase: str, label: str) -> Column:
+        parts = phrase.split()
+        last = F.size(words) - len(parts)
+        here = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: reduce(lambda x, y: x & y, [F.get(words, i + k) == w for k, w in enumerate(parts)]))
+        return F.when(last >= 0, F.transform(here, lambda i: F.struct(i.cast("long").alias("at"), F.lit(label).alias("label")))).otherwise(none)
 
-        def matched(i: Column) -> Column:
-            count = shared(i, F.lit(width))
-            last = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(width)), lambda n: shared(i, n) >= count))
-            span = F.struct((count / F.lit(size)).alias("share"), F.lit(size).alias("size"), F.lit(label).alias("label"), (-last).alias("tight"), (context["start"] + i).alias("start"), (context["start"] + i + last).alias("end"))
-            return F.when(count >= needed, span)
+    return F.concat(*[places_of(p, label) for p, label in PHRASES.items()])
 
-        starts = F.filter(F.sequence(F.lit(0), F.size(context["words"]) - 1), lambda i: F.array_contains(own, F.get(context["words"], i)))
-        enough = F.size(F.array_intersect(own, context["words"])) >= needed
-        return F.when(enough, F.array_compact(F.transform(starts, matched))).otherwise(F.expr(f"cast(array() as {PLACES})"))
 
-    return F.concat(*[of_template(label, text) for label, text in TEMPLATES])
+def blocks_of(documents: DataFrame, id_col: str, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """(row, doc_id, n_words, base, blocks) of every document row.
 
+    ``base`` has the places of phrases. ``blocks`` has the lines that hold an
+    anchor (start -1) and the words around each anchor (start 0 or more), as
+    array<struct<start, words>>; of a line only words that some template has.
+    """
+    vocabulary = sorted({w for _, text in templates for w in template_words(text)})
+    anchors = anchor_words(templates, threshold)
+    reach = max((window_words(text, threshold) for _, text in templates), default=1) - 1
+    read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
+    df = read.select("doc_id", lower_ascii(F.col("text")).alias("text")).withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    shape = "array<struct<start:int,words:array<string>>>"
 
-def best_places(found: Column) -> Column:
-    """Of matches that overlap, the best; the tighter of equals."""
+    def line_block(line: Column) -> Column:
+        own = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+        return F.struct(F.lit(-1).alias("start"), F.array_distinct(F.filter(own, lambda w: w.isin(vocabulary))).alias("words"))
 
-    def step(acc: Column, x: Column) -> Column:
-        return F.when(F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"])), acc).otherwise(F.concat(acc, F.array(x)))
+    def around(i: Column) -> Column:
+        first = F.greatest(i - reach, F.lit(0))
+        return F.struct(first.alias("start"), F.slice("words", first + 1, i - first + reach + 1).alias("words"))
 
-    return F.aggregate(F.reverse(F.array_sort(F.array_distinct(found))), F.expr(f"cast(array() as {PLACES})"), step)
+    lines = F.filter(F.transform(F.split("text", "\n", -1), line_block), lambda x: F.exists(x["words"], lambda w: w.isin(anchors)))
+    near = F.transform(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(anchors)), around)
+    some = F.exists("words", lambda w: w.isin(anchors))
+    blocks = F.when(some, F.concat(lines, near)).otherwise(F.expr(f"cast(array() as {shape})"))
+    phrased = reduce(lambda x, y: x | y, [reduce(lambda x, y: x & y, [F.col("text").contains(w) for w in p.split()]) for p in PHRASES])
+    base = F.when(phrased, phrase_places(F.col("words"))).otherwise(F.expr("cast(array() as array<struct<at:bigint,label:string>>)"))
+    return df.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size("words").cast("long").alias("n_words"), base.alias("base"), blocks.alias("blocks"))
 
 
-def _holds_any(c: Column, strings: list[str]) -> Column:
-    return reduce(lambda x, y: x | y, [c.contains(x) for x in strings])
+def prefix_index(templates: list[tuple[str, str]], frequency: DataFrame, threshold: float) -> DataFrame:
+    """(token, place, template, label, size, needed, width, tokens): each template's prefix, its tokens in global order.
 
+    ``frequency`` has (token, n), the blocks that hold each token.
+    """
+    spark = frequency.sparkSession
+    rows = [(k, label, w, len(words), needed_words(len(words), threshold), window_words(text, threshold)) for k, (label, text) in enumerate(templates) if (words := template_words(text)) for w in words]
+    given = spark.createDataFrame(rows, "template int, label string, token string, size int, needed int, width int").join(frequency, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    placed = given.withColumn("place", F.row_number().over(Window.partitionBy("template").orderBy("n", "token")))
+    whole = placed.groupBy("template").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("tokens"))
+    return placed.filter(F.col("place") <= F.col("size") - F.col("needed") + 1).join(whole, "template").select("token", "place", "template", "label", "size", "needed", "width", "tokens")
 
-def blocks_of(documents: DataFrame, id_col: str, threshold: float) -> DataFrame:
-    """(doc_id, n_words, base, lines, contexts): word count, phrase places, the lines that hold an anchor, the words around anchors.
 
-    ``base`` is array<struct<at, label>>; a line is its distinct words that some
-    template has, with the number of all its distinct words.
-    """
-    vocabulary = sorted({w for _, text in TEMPLATES for w in template_words(text)})
-    text, hold = F.col("text"), anchors(threshold)
-    read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
-    df = read.select("doc_id", F.regexp_count("text", F.lit(ANY_WORD)).cast("long").alias("n_words"), lower_ascii(text).alias("text"))
-    gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    phrased = reduce(lambda x, y: x | y, [_all_of(text, p.split()) & text.rlike(p.replace(" ", gap)) for p in PHRASES])
-    # One space before and after every word; null where no phrase can stand.
-    spaced = F.when(phrased, F.concat(F.lit(" "), F.array_join(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), " "), F.lit(" ")))
-    df = df.withColumn("spaced", spaced)
+SPANS = "array<struct<share:double,size:int,label:string,tight:int,start:int,end:int>>"
 
-    def places(phrase: str, label: str) -> Column:
-        words = len(phrase.split())
-        none = F.expr("cast(array() as array<int>)")
 
-        def step(acc: Column, piece: Column) -> Column:
-            # The spaces of the pieces so far, less the first, and the words inside earlier matches.
-            at = acc["at"] + F.regexp_count(piece, F.lit(" ")) + F.when(F.size(acc["out"]) > 0, words - 1).otherwise(0)
-            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))
+def windows_of(words: Column, start: Column, tokens: Column, needed: Column, size: Column, width: Column, label: Column) -> Column:
+    """All windows of ``words`` that match the template, from their first to their last word that counts."""
 
-        def counted(pieces: Column) -> Column:
-            return F.aggregate(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.struct(F.lit(-1).alias("at"), none.alias("out")), step, lambda a: a["out"])
+    def shared(i: Column, n: Column) -> Column:
+        return F.size(F.array_intersect(tokens, F.slice(words, i + 1, n)))
 
-        found = F.get(F.transform(F.array(F.split(F.col("spaced"), f"(?<= ){phrase}(?= )", -1)), counted), F.lit(0))
-        return F.transform(found, lambda at: F.struct(at.cast("long").alias("at"), F.lit(label).alias("label")))
+    def matched(i: Column) -> Column:
+        def shaped(count: Column) -> Column:
+            last = F.array_min(F.filter(F.sequence(F.lit(1), width), lambda n: shared(i, n) >= count))
+            span = F.struct((count / size).alias("share"), size.alias("size"), label.alias("label"), (-last).alias("tight"), (start + i).alias("start"), (start + i + last).alias("end"))
+            return F.when(count >= needed, span)
 
-    base = F.when(F.col("spaced").isNull(), F.expr("cast(array() as array<struct<at:bigint,label:string>>)")).otherwise(F.concat(*[places(p, label) for p, label in PHRASES.items()]))
-    known = F.array(*[F.lit(w) for w in vocabulary])
+        return bound(shared(i, width), shaped)
 
-    def shaped(line: Column) -> Column:
-        words = F.array_distinct(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
-        return F.struct(F.array_intersect(words, known).alias("words"), F.size(words).alias("size"))
+    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(tokens, F.get(words, i)))
+    return F.array_compact(F.transform(starts, matched))
 
-    lines = F.transform(F.filter(F.split(text, "\n", -1), lambda x: _holds_any(x, hold)), shaped)
-    near = contexts_of(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), threshold)
-    contexts = F.when(_holds_any(text, hold), near).otherwise(F.expr("cast(array() as array<struct<start:int,words:array<string>>>)"))
-    return df.select("doc_id", "n_words", base.alias("base"), F.when(_holds_any(text, hold), lines).otherwise(F.expr("cast(array() as array<struct<words:array<string>,size:int>>)")).alias("lines"), contexts.alias("contexts"))
 
+def best_places(found: Column) -> Column:
+    """Of matches that overlap, the best; the tighter of equals."""
 
-def _all_of(c: Column, strings: list[str]) -> Column:
-    return reduce(lambda x, y: x & y, [c.contains(x) for x in strings])
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"])), acc).otherwise(F.concat(acc, F.array(x)))
 
+    return F.aggregate(F.reverse(F.array_sort(F.array_distinct(found))), F.expr(f"cast(array() as {SPANS})"), step)
 
-def prefixes(order: dict[str, int], threshold: float) -> dict[str, list[tuple[int, int, int, int]]]:
-    """Prefix token to (template, place, template size, needed)."""
-    index: dict[str, list[tuple[int, int, int, int]]] = {}
-    for k, (_, text) in enumerate(TEMPLATES):
-        words = sorted(template_words(text), key=lambda w: (order.get(w, 0), w))
-        needed = needed_words(len(words), threshold)
-        for place, w in enumerate(words[: len(words) - needed + 1]):
-            index.setdefault(w, []).append((k, place, len(words), needed))
-    return index
 
+def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
+    """(row, own, spans) of rows with a match: the best template of each line, and all matching windows.
 
-def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    ``blocks`` has (row, block, start, words, tokens), the tokens distinct and in
+    global order. A candidate is kept at the first prefix token that it shares, so
+    each pair of block and template is verified once.
+    """
+    keep = [c for c in index.columns if c != "tokens"]
+    paired = blocks.withColumn("token", F.explode("tokens")).join(index.select(*keep, F.col("tokens").alias("template_tokens")), "token")
+    both = F.array_intersect("template_tokens", "tokens")
+    rest = F.least(F.col("size") - F.col("place"), F.size("tokens") - F.array_position("tokens", F.col("token")))
+    near = paired.filter((F.size("tokens") >= F.col("needed")) & (1 + rest >= F.col("needed"))).withColumn("both", both)
+    verified = near.filter((F.get("both", F.lit(0)) == F.col("token")) & (F.size("both") >= F.col("needed")))
+    whole = F.struct((F.size("both") / F.col("size")).alias("share"), "size", "label")
+    lines = verified.filter("start < 0").groupBy("row", "block").agg(F.max(whole).alias("own")).groupBy("row").agg(F.collect_list("own").alias("own"))
+    spans = windows_of(F.col("words"), F.col("start"), F.col("template_tokens"), F.col("needed"), F.col("size"), F.col("width"), F.col("label"))
+    windows = verified.filter("start >= 0").select("row", F.explode(spans).alias("span")).groupBy("row").agg(F.collect_set("span").alias("spans"))
+    return lines.join(windows, "row", "full_outer")
+
+
+def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD, templates: DataFrame | None = None) -> DataFrame:
     """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    ``score`` is the greatest containment of a template in one of the document's
-    blocks or windows, 1 where a base phrase stands, and 0 where there is neither. Null and
-    empty texts have no words and no labels; repeated rows are scanned each; an
-    empty table gives no rows. Only the id and the text are read.
+    ``templates`` has (label, text) and is a parameter of the driver's size;
+    without it ``TEMPLATES`` counts. ``score`` is the greatest containment of a
+    template in one of the document's blocks, 1 where a base phrase stands, and 0
+    where there is neither. Null and empty texts have no words and no labels;
+    repeated rows are scanned each; an empty table gives no rows. Templates without
+    words match nothing. Only the id and the text are read.
 
-    One pass over the texts writes the template words of their lines; the token
-    frequencies over all blocks, the candidates and the result read that.
+    One pass over the texts writes the blocks near anchors; the token frequencies
+    over all blocks, the join and the result read that. Documents without such
+    blocks take no part in the join.
     """
-    vocabulary = sorted({w for _, text in TEMPLATES for w in template_words(text)})
-    found = written(blocks_of(documents, id_col, threshold), "blocks")
-    lines = found.select(F.explode("lines").alias("line")).select("line.words")
-    frequency = {r["word"]: r["count"] for r in lines.select(F.explode("words").alias("word")).groupBy("word").count().collect()}
-    order = {w: frequency.get(w, 0) for w in vocabulary}
-    index = prefixes(order, threshold)
-    ordered = sorted(vocabulary, key=lambda w: (order[w], w))
-    rank = F.create_map(*[x for i, w in enumerate(ordered) for x in (F.lit(w), F.lit(i))])
-    sets = [sorted(template_words(text), key=lambda w: (order[w], w)) for _, text in TEMPLATES]
-
-    def matches(line: Column) -> Column:
-        """struct<share, size, label> of the template that the line holds best, the larger of equals; else null."""
-        mine = F.array_sort(line["words"], lambda a, b: F.element_at(rank, a) - F.element_at(rank, b))
-
-        def judged(words: Column) -> Column:
-            out = []
-            for k, (label, _) in enumerate(TEMPLATES):
-                size = len(sets[k])
-                needed = needed_words(size, threshold)
-                prefix = [w for w, places in index.items() if any(t == k for t, *_ in places)]
-                template = F.array(*[F.lit(w) for w in sets[k]])
-                first = F.get(F.array_intersect(words, template), F.lit(0))
-                bound = 1 + F.least(size - F.array_position(template, first), F.size(words) - F.array_position(words, first))
-                shared = F.size(F.array_intersect(template, words))
-                candidate = (line["size"] >= needed) & F.arrays_overlap(words, F.array(*[F.lit(w) for w in prefix])) & (bound >= needed)
-                share = F.when(candidate, F.when(shared >= needed, shared / F.lit(size)))
-                out.append(F.when(share.isNotNull(), F.struct(share.alias("share"), F.lit(size).alias("size"), F.lit(label).alias("label"))))
-            return F.array_max(F.array_compact(F.array(*out)))
-
-        return F.get(F.transform(F.array(mine), judged), F.lit(0))
-
-    smallest = min(needed_words(len(s), threshold) for s in sets)
-    held = F.array(*[F.lit(w) for w in index])
-    near = F.filter("lines", lambda x: (F.size(x["words"]) >= smallest) & F.arrays_overlap(x["words"], held))
-    own = F.when(F.size("near") == 0, F.expr("cast(array() as array<struct<share:double,size:int,label:string>>)")).otherwise(F.array_compact(F.transform("near", matches)))
-    spans = F.when(F.size("contexts") == 0, F.expr(f"cast(array() as {PLACES})")).otherwise(F.flatten(F.transform("contexts", lambda x: places_of(x, threshold))))
-    df = found.select("doc_id", "n_words", "base", near.alias("near"), spans.alias("spans"))
-    df = df.select("doc_id", "n_words", "base", own.alias("own"), "spans", F.when(F.size("spans") == 0, F.col("spans")).otherwise(best_places(F.col("spans"))).alias("best"))
+    given = list(TEMPLATES) if templates is None else [(r["label"], r["text"]) for r in templates.filter("label is not null and text is not null").select("label", "text").collect()]
+    given = [(label, text) for label, text in given if template_words(text)]
+    found = written(blocks_of(documents, id_col, given, threshold), "blocks")
+    vocabulary = sorted({w for _, text in given for w in template_words(text)})
+    some = found.filter(F.size("blocks") > 0)
+    exploded = some.select("row", F.posexplode("blocks").alias("block", "x")).select("row", "block", "x.start", "x.words")
+    exploded = exploded.withColumn("held", F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary))))
+    frequency = written(exploded.select(F.explode("held").alias("token")).groupBy("token").agg(F.count("*").alias("n")), "frequency")
+    index = written(prefix_index(given, frequency, threshold), "index")
+    index = F.broadcast(index) if index.count() <= MOST_BROADCAST else index
+    # The templates' tokens in global order, as one array; a block's are the ones of it that it holds.
+    order = frequency.agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("order"))
+    blocks = exploded.crossJoin(F.broadcast(order)).withColumn("tokens", F.array_intersect("order", "held"))
+    matches = matching_blocks(blocks.select("row", "block", "start", "words", "tokens"), index)
+
+    own_type = "array<struct<share:double,size:int,label:string>>"
+    df = some.select("row", "doc_id", "n_words", "base").join(matches, "row", "left")
+    df = df.withColumn("own", F.coalesce("own", F.expr(f"cast(array() as {own_type})"))).withColumn("spans", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")))
+    df = df.withColumn("best", best_places(F.col("spans")))
     # A line's label whose every place went to better matches.
     lost = lambda x: F.exists("spans", lambda y: (y["label"] == x["label"]) & (y["share"] >= x["share"])) & ~F.exists("best", lambda y: y["label"] == x["label"])
-    shaped = lambda c: F.transform(c, lambda x: F.struct(x["share"].alias("share"), x["size"].alias("size"), x["label"].alias("label")))
-    df = df.select("doc_id", "n_words", "base", F.concat(shaped(F.filter("own", lambda x: ~lost(x))), shaped("best")).alias("own"))
+    shaped = F.transform("best", lambda x: F.struct(x["share"].alias("share"), x["size"].alias("size"), x["label"].alias("label")))
+    with_blocks = df.select("doc_id", "n_words", "base", F.concat(F.filter("own", lambda x: ~lost(x)), shaped).alias("own"))
+    without = found.filter(F.size("blocks") == 0).select("doc_id", "n_words", "base", F.expr(f"cast(array() as {own_type})").alias("own"))
     labels = F.transform("base", lambda x: x["label"])
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
-    return df.select(
+    return with_blocks.unionByName(without).select(
         "doc_id",
         "n_words",
         F.size("base").cast("long").alias("n_base"),
