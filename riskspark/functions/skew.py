@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: A key is hot if it holds more than one in so many of the rows; so there are at most so many hot keys.
 HOT_PARTS = 2000
+#: Rows of a key that are few enough for one task, whatever the number of rows.
+FEW = 50
 
 
 def join_hot(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int, how: str = "inner") -> DataFrame:
@@ -18,7 +20,7 @@ def join_hot(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int,
     rows stay where they are; the others are joined by a shuffle. Null keys find
     no partner; a null weight counts as 0.
     """
-    hot = [r[on] for r in keys.filter(F.col(weight) * HOT_PARTS > max(total, HOT_PARTS)).select(on).collect()]
+    hot = [r[on] for r in keys.filter(F.col(weight) * HOT_PARTS > total).select(on).collect()] if total > FEW * HOT_PARTS else []
     keys = keys.drop(weight)
     if not hot:
         return rows.join(keys, on, how)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import written
+from ..functions.ranges import running_sums
 from ..functions.skew import join_hot
+from .joins import pagerank_degree_community
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -83,9 +85,7 @@ def entity_metrics(vertices: DataFrame, edges: DataFrame, snapshot_date, rounds:
     """Rank, degree and component of every vertex, as of a date."""
     found = connected_components(edges).select("id", "component")
     return (
-        pagerank(vertices, edges, rounds=rounds)
-        .join(degrees(edges), "id", "left")
-        .join(found, "id", "left")
+        pagerank_degree_community(pagerank(vertices, edges, rounds=rounds), degrees(edges), found)
         .select("id", "rank", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("component", "id").alias("component"), F.lit(snapshot_date).cast("date").alias("snapshot_date"))
     )
 
@@ -93,9 +93,21 @@ def entity_metrics(vertices: DataFrame, edges: DataFrame, snapshot_date, rounds:
 def sharing_count(txn: DataFrame, entity: str, member: str, hours: int = 24, ts: str = "event_time_ts", tie: str = "transaction_id") -> DataFrame:
     """Distinct members that used the entity in the ``hours`` up to and with each event.
 
-    A range window over the entity's events; no join, so no fan-out.
+    A member counts from an event on until so long after its last one. Those spells
+    are found within (entity, member); the count at an event is the spells begun by
+    then less those over before it, a running sum that is dealt by ranges of time,
+    so the events of one busy entity don't meet in one task. Rows without the
+    entity are left out, and a null member counts for none.
     """
-    seconds = F.unix_timestamp(F.col(ts).cast("timestamp"))
-    span = Window.partitionBy(entity).orderBy("__s").rangeBetween(-hours * 3600, 0)
-    known = txn.filter(F.col(entity).isNotNull()).withColumn("__s", seconds)
-    return known.select(tie, entity, ts, F.size(F.collect_set(member).over(span)).cast("long").alias("sharing_count"))
+    length = hours * 3600
+    known = txn.filter(F.col(entity).isNotNull()).select(tie, entity, ts, F.col(member).alias("__member"), F.unix_timestamp(F.col(ts).cast("timestamp")).alias("__s"))
+    own = Window.partitionBy(entity, "__member").orderBy("__s")
+    moments = known.filter("__member is not null").select(entity, "__member", "__s").distinct()
+    near = moments.withColumns({"__before": F.lag("__s").over(own), "__after": F.lead("__s").over(own)})
+    begins = near.filter(f"__before is null or __s - __before > {length}").select(entity, (2 * F.col("__s")).alias("__at"), F.lit(1).alias("__step"))
+    # Over before the next whole second: half a step after the last one that still counts.
+    ends = near.filter(f"__after is null or __after - __s > {length}").select(entity, (2 * (F.col("__s") + length) + 1).alias("__at"), F.lit(-1).alias("__step"))
+    asked = known.select(entity, (2 * F.col("__s")).alias("__at"), F.lit(0).alias("__step"))
+    steps = begins.unionByName(ends).unionByName(asked).groupBy(entity, "__at").agg(F.sum("__step").alias("__step"))
+    counts = running_sums(steps, entity, "__at", {"__step": "sharing_count"}).select(entity, "__at", F.col("sharing_count").cast("long"))
+    return known.withColumn("__at", 2 * F.col("__s")).join(counts, [entity, "__at"]).select(tie, entity, ts, "sharing_count")

@@ -38,9 +38,11 @@ SELECT transaction_id, event_date, amount, is_fraud,
 FROM txn
 """
 
-DERIVED = {"txn": TXN, "txn_wide": TXN_WIDE, "identity": IDENTITY, "features": FEATURES, "scores": SCORES}
-NEEDS = {"txn": (), "txn_wide": (), "identity": (), "features": ("txn",), "scores": ("txn",)}
-BASE = {"txn": ("events",), "txn_wide": ("lineitem", "orders"), "identity": ("orders",), "features": (), "scores": ()}
+TXN_IP = "SELECT *, concat('10.0.', merchant_id % 5, '.', card_id % 30) AS ip_address FROM txn"
+
+DERIVED = {"txn": TXN, "txn_ip": TXN_IP, "txn_wide": TXN_WIDE, "identity": IDENTITY, "features": FEATURES, "scores": SCORES}
+NEEDS = {"txn": (), "txn_ip": ("txn",), "txn_wide": (), "identity": (), "features": ("txn",), "scores": ("txn",)}
+BASE = {"txn": ("events",), "txn_ip": (), "txn_wide": ("lineitem", "orders"), "identity": ("orders",), "features": (), "scores": ()}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
