@@ -101,14 +101,18 @@ def cast_ids(df: DataFrame, columns: Iterable[str] = ("transaction_id", "card1",
     return df.withColumns({c: F.col(c).cast("string") for c in columns if c in df.columns})
 
 
+#: Levels up to which a table of them is broadcast.
+MOST_BROADCAST = 100_000
+
+
 def bucket_rare_levels(df: DataFrame, column: str, k: int, sentinel: str = "rare") -> DataFrame:
     """``<c>_bucket``: the k most frequent levels (ties by level), the rest as the sentinel, null as null.
 
-    The k levels are the only rows broadcast.
+    The k levels are the only rows broadcast, and only up to ``MOST_BROADCAST``.
     """
     top = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), column).limit(k)
     kept = top.select(F.col(column).alias("__level"))
-    joined = df.join(F.broadcast(kept), F.col(column) == F.col("__level"), "left")
+    joined = df.join(F.broadcast(kept) if k <= MOST_BROADCAST else kept, F.col(column) == F.col("__level"), "left")
     return joined.withColumn(f"{column}_bucket", F.when(F.col(column).isNotNull(), F.coalesce(F.col("__level").cast("string"), F.lit(sentinel)))).drop("__level")
 
 

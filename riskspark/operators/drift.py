@@ -1,7 +1,8 @@
 """Distribution drift of many features at once.
 
 Features are unpivoted to (feature, side, value) and handled together: one scan
-for edges, one for counts, whatever the number of features.
+counts all values, whatever the number of features, and every measure is made of
+the counts.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import quantiles_of, running_sums
+
 EPS = 1e-6
 #: Fixed thresholds: (warning, critical).
 PSI, JSD, KS, KS_P = (0.10, 0.25), (0.05, 0.15), (0.05, 0.10), (0.01, 0.001)
@@ -29,8 +32,16 @@ def sizes(values: DataFrame) -> DataFrame:
 
 
 def value_counts(values: DataFrame) -> DataFrame:
-    """(feature, value, r, c): how often each value stands on each side; what all measures need."""
-    return values.groupBy("feature", "value").agg(F.count_if(F.col("side") == "ref").alias("r"), F.count_if(F.col("side") == "cur").alias("c"))
+    """(feature, value, r, c, r_running, c_running): how often each value stands on each side, and up to it.
+
+    All measures come from this table, which is written once.
+    """
+    counts = values.groupBy("feature", "value").agg(F.count_if(F.col("side") == "ref").alias("r"), F.count_if(F.col("side") == "cur").alias("c"))
+    return running_sums(counts, "feature", "value", {"r": "r_running", "c": "c_running"})
+
+
+def sizes_from(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("feature").agg(F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
 
 
 def psi(values: DataFrame, buckets: int = 10) -> DataFrame:
@@ -39,12 +50,14 @@ def psi(values: DataFrame, buckets: int = 10) -> DataFrame:
     Buckets are closed below and open above; equal edges leave empty buckets,
     which the smoothing covers.
     """
-    points = [i / buckets for i in range(1, buckets)]
-    edges = values.filter("side = 'ref'").groupBy("feature").agg(F.percentile("value", F.array(*[F.lit(p) for p in points])).alias("edges"))
-    counts = value_counts(values).join(F.broadcast(edges), "feature")
+    return psi_from(value_counts(values), buckets)
+
+
+def psi_from(counts: DataFrame, buckets: int = 10) -> DataFrame:
+    edges = quantiles_of(counts, "feature", "value", "r_running", [i / buckets for i in range(1, buckets)])
     # Inner edges at or below the value, so bucket 0 is below the first one.
-    bucket = F.size(F.filter("edges", lambda e: e <= F.col("value")))
-    dealt = counts.groupBy("feature", bucket.alias("b")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    bucket = F.size(F.filter("quantiles", lambda e: e <= F.col("value")))
+    dealt = counts.join(F.broadcast(edges), "feature").groupBy("feature", bucket.alias("b")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     total = sizes_from(dealt)
     every = total.select("*", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("b")).join(dealt, ["feature", "b"], "left").fillna(0, ["r", "c"])
     e, a = F.col("r") / F.col("ref_n") + EPS, F.col("c") / F.col("cur_n") + EPS
@@ -52,13 +65,12 @@ def psi(values: DataFrame, buckets: int = 10) -> DataFrame:
     return every.filter("ref_n > 0 and cur_n > 0").groupBy("feature").agg(F.when(few, 0.0).otherwise(F.sum((a - e) * F.log(a / e))).alias("psi"))
 
 
-def sizes_from(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("feature").agg(F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
-
-
 def jsd(values: DataFrame, bins: int = 50) -> DataFrame:
     """(feature, jsd): squared Jensen-Shannon distance, in nats, over equal bins of both sides' range."""
-    counts = value_counts(values)
+    return jsd_from(value_counts(values), bins)
+
+
+def jsd_from(counts: DataFrame, bins: int = 50) -> DataFrame:
     spans = counts.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
     flat = F.col("hi") == F.col("lo")
     spans = spans.select("feature", "ref_n", "cur_n", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"), F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
@@ -75,22 +87,13 @@ def jsd(values: DataFrame, bins: int = 50) -> DataFrame:
 
 
 def ks_2samp(values: DataFrame) -> DataFrame:
-    """(feature, ks_stat, ks_p_value): the largest gap of the distributions, and its asymptotic p.
+    """(feature, ks_stat, ks_p_value): the largest gap of the distributions, and its asymptotic p."""
+    return ks_from(value_counts(values))
 
-    Values are counted first, then summed in two steps: within ranges of the
-    value, and over the ranges' totals; no feature has to pass one task whole.
-    """
-    counts = value_counts(values).repartitionByRange("feature", "value").withColumn("part", F.spark_partition_id())
-    from ..functions.lineage import written
-
-    counts = written(counts, "value-counts")
-    order = Window.partitionBy("feature", "part").orderBy("value")
-    totals = counts.groupBy("feature", "part").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    earlier = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("feature", "part", F.coalesce(F.sum("r").over(earlier), F.lit(0)).alias("r0"), F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("c0"))
-    summed = counts.select("feature", "part", F.sum("r").over(order).alias("r"), F.sum("c").over(order).alias("c"))
-    gaps = summed.join(before, ["feature", "part"]).join(F.broadcast(sizes_from(counts)), "feature").filter("ref_n > 0 and cur_n > 0")
-    gap = F.abs((F.col("r") + F.col("r0")) / F.col("ref_n") - (F.col("c") + F.col("c0")) / F.col("cur_n"))
+
+def ks_from(counts: DataFrame) -> DataFrame:
+    gaps = counts.join(F.broadcast(sizes_from(counts)), "feature").filter("ref_n > 0 and cur_n > 0")
+    gap = F.abs(F.col("r_running") / F.col("ref_n") - F.col("c_running") / F.col("cur_n"))
     found = gaps.groupBy("feature").agg(F.max(gap).alias("ks_stat"), F.max((F.col("ref_n") * F.col("cur_n")) / (F.col("ref_n") + F.col("cur_n"))).alias("en"))
     x = -2 * F.col("ks_stat") * F.col("ks_stat") * F.col("en")
     terms = [F.lit(2.0 * (-1) ** (k - 1)) * F.exp(x * (k * k)) for k in range(1, 101)]
@@ -106,8 +109,8 @@ def feature_drift_report(reference: DataFrame, current: DataFrame, features: Seq
     """
     values = long_form(reference, current, features)
     asked = reference.sparkSession.createDataFrame([(f, f in reference.columns and f in current.columns) for f in features], "feature string, there boolean")
-    joined = asked
-    for part in (sizes(values), psi(values), ks_2samp(values), jsd(values)):
+    joined, counts = asked, value_counts(values)
+    for part in (sizes_from(counts), psi_from(counts), ks_from(counts), jsd_from(counts)):
         joined = joined.join(part, "feature", "left")
     joined = joined.fillna(0, ["ref_n", "cur_n"])
     few = (F.col("ref_n") < least) | (F.col("cur_n") < least)
@@ -138,7 +141,8 @@ def prediction_drift(baseline: DataFrame, current: DataFrame, score: str, psi_th
     values = long_form(baseline, current, [score])
     side = lambda s: F.when(F.col("side") == s, F.col("value"))
     stats = values.groupBy("feature").agg(*[f(side(s)).alias(f"{s}_{k}") for s in ("ref", "cur") for k, f in (("mean", F.avg), ("std", F.stddev_pop))])
-    joined = psi(values).join(jsd(values), "feature").join(stats, "feature").drop("feature")
+    counts = value_counts(values)
+    joined = psi_from(counts).join(jsd_from(counts), "feature").join(stats, "feature").drop("feature")
     return joined.withColumn("drifted", (F.col("psi") >= psi_threshold) | (F.col("jsd") >= jsd_threshold))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import written
+from ..functions.ranges import PART, previous_rows, running_sums
 
 
 def score_counts(df: DataFrame, scores: Sequence[str], label: str = "is_fraud") -> DataFrame:
@@ -22,26 +22,24 @@ def pr_curve(df: DataFrame, scores: Sequence[str], label: str = "is_fraud") -> D
     Sums run within ranges of the score and over the ranges' totals, so that
     many distinct scores don't meet in one task.
     """
-    counts = written(score_counts(df, scores, label).repartitionByRange("model", F.desc("score")).withColumn("part", F.spark_partition_id()), "score-counts")
-    within = Window.partitionBy("model", "part").orderBy(F.desc("score"))
-    totals = counts.groupBy("model", "part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    earlier = Window.partitionBy("model").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy("model")
-    before = totals.select("model", "part", F.coalesce(F.sum("pos").over(earlier), F.lit(0)).alias("tp0"), F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("fp0"), F.sum("pos").over(every).alias("p"), F.sum("neg").over(every).alias("n"))
-    summed = counts.select("model", "part", "score", F.sum("pos").over(within).alias("tp1"), F.sum("neg").over(within).alias("fp1")).join(before, ["model", "part"])
-    tp, fp = F.col("tp0") + F.col("tp1"), F.col("fp0") + F.col("fp1")
-    return summed.select("model", "score", tp.alias("tp"), fp.alias("fp"), "p", "n", (tp / (tp + fp)).alias("precision"), F.try_divide(tp, F.col("p")).alias("recall"), F.try_divide(fp, F.col("n")).alias("fpr"))
+    return _curve(df, scores, label).drop(PART)
 
 
-def _previous(curve: DataFrame, *columns: str) -> DataFrame:
-    """Each point with the one before it (lower recall); one row a distinct score, so a model's curve is sorted by its ranges."""
-    order = Window.partitionBy("model").orderBy(F.desc("score"))
-    return curve.withColumns({f"prev_{c}": F.lag(c).over(order) for c in columns})
+def _curve(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
+    summed = running_sums(score_counts(df, scores, label), "model", "score", {"pos": "tp", "neg": "fp"}, down=True)
+    totals = summed.groupBy("model").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    tp, fp = F.col("tp"), F.col("fp")
+    return summed.join(F.broadcast(totals), "model").select("model", "score", PART, "tp", "fp", "p", "n", (tp / (tp + fp)).alias("precision"), F.try_divide(tp, F.col("p")).alias("recall"), F.try_divide(fp, F.col("n")).alias("fpr"))
+
+
+def _with_previous(df: DataFrame, scores: Sequence[str], label: str, *columns: str) -> DataFrame:
+    """The curve, each point with the one before it, of lower recall."""
+    return previous_rows(_curve(df, scores, label), "model", "score", columns, down=True)
 
 
 def pr_summary(df: DataFrame, scores: Sequence[str], label: str = "is_fraud") -> DataFrame:
     """(model, pr_auc, average_precision): the trapezoid area, from precision 1 at recall 0, and the step sum."""
-    curve = _previous(pr_curve(df, scores, label), "precision", "recall")
+    curve = _with_previous(df, scores, label, "precision", "recall")
     step = F.col("recall") - F.coalesce("prev_recall", F.lit(0.0))
     area = step * (F.col("precision") + F.coalesce("prev_precision", F.lit(1.0))) / 2
     return curve.groupBy("model").agg(F.sum(area).alias("pr_auc"), F.sum(step * F.col("precision")).alias("average_precision"))
@@ -49,7 +47,7 @@ def pr_summary(df: DataFrame, scores: Sequence[str], label: str = "is_fraud") ->
 
 def operating_points(df: DataFrame, scores: Sequence[str], label: str = "is_fraud", rates: Sequence[float] = (0.01, 0.05)) -> DataFrame:
     """(model, recall_at_fpr_<percent>..., best_f1, best_threshold); recall is interpolated on the ROC."""
-    curve = _previous(pr_curve(df, scores, label), "recall", "fpr").fillna(0.0, ["prev_recall", "prev_fpr"])
+    curve = _with_previous(df, scores, label, "recall", "fpr").fillna(0.0, ["prev_recall", "prev_fpr"])
     out = []
     for rate in rates:
         crosses = (F.col("prev_fpr") <= rate) & (F.col("fpr") >= rate)

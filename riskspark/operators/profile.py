@@ -7,6 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import written
+from ..functions.ranges import exact_quantiles
+
+#: Parts of a column's levels that are ranked apart.
+PARTS = 512
+
 
 def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows, columns), a count each."""
@@ -73,20 +79,24 @@ def verdicts(measured: DataFrame, claims: DataFrame, tolerance: float = 0.10) ->
 def cardinality_profile(df: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
     """(column, levels, null_rate, top_value, top_share, top_coverage) of text-like columns; ties by value."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")).select("x.*")
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.col("value").isNull(), F.desc("n"), "value"))
+    counts = written(long.groupBy("column", "value").agg(F.count("*").alias("n")), "level-counts")
     there = F.col("value").isNotNull()
-    out = counts.withColumn("r", rank).groupBy("column").agg(
-        F.count_if(there).alias("levels"), F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(~there, F.col("n"))), F.lit(0)).alias("nulls"),
-        F.max(F.when(there & (F.col("r") == 1), F.col("value"))).alias("top_value"), F.max(F.when(there & (F.col("r") == 1), F.col("n"))).alias("top_n"), F.sum(F.when(there & (F.col("r") <= k), F.col("n"))).alias("covered"),
-    )
+    whole = counts.groupBy("column").agg(F.count_if(there).alias("levels"), F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(~there, F.col("n"))), F.lit(0)).alias("nulls"))
+    # The k best of each of many parts first, so that the levels of a column don't meet in one task.
+    part = F.pmod(F.xxhash64("value"), F.lit(PARTS))
+    best = lambda *keys: F.row_number().over(Window.partitionBy("column", *keys).orderBy(F.desc("n"), "value"))
+    some = counts.filter(there).withColumn("part", part).withColumn("r", best("part")).filter(F.col("r") <= k)
+    top = some.withColumn("r", best()).filter(F.col("r") <= k).groupBy("column").agg(F.min_by("value", "r").alias("top_value"), F.max("n").alias("top_n"), F.sum("n").alias("covered"))
+    out = whole.join(top, "column", "left")
     return out.select("column", "levels", F.try_divide("nulls", "rows").alias("null_rate"), "top_value", F.try_divide("top_n", "rows").alias("top_share"), F.try_divide("covered", "rows").alias("top_coverage"))
 
 
 def describe_compare(train: DataFrame, test: DataFrame, numeric: str, category: str, ts: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(numeric summary by side, category shares by side, time gap in seconds) of two tables."""
     both = train.select(F.lit("train").alias("side"), numeric, category, ts).unionByName(test.select(F.lit("test").alias("side"), numeric, category, ts))
-    summary = both.groupBy("side").agg(F.count(numeric).alias("n"), F.avg(numeric).alias("mean"), F.stddev(numeric).alias("std"), F.min(numeric).alias("low"), F.percentile(numeric, 0.5).alias("median"), F.max(numeric).alias("high"))
+    summary = both.groupBy("side").agg(F.count(numeric).alias("n"), F.avg(numeric).alias("mean"), F.stddev(numeric).alias("std"), F.min(numeric).alias("low"), F.max(numeric).alias("high"))
+    median = exact_quantiles(both, "side", numeric, [0.5]).select("side", F.get("quantiles", F.lit(0)).alias("median"))
+    summary = summary.join(median, "side", "left").select("side", "n", "mean", "std", "low", "median", "high")
     shares = both.groupBy("side", category).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("side"))).drop("n")
     at = lambda s, f: f(F.when(F.col("side") == s, F.unix_timestamp(F.col(ts).cast("timestamp"))))
     gap = both.agg((at("test", F.min) - at("train", F.max)).alias("gap_seconds"))

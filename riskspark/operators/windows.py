@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import written
+from ..functions.ranges import exact_quantiles
 from ..functions.scalars import haversine_km
 
 IMPOSSIBLE_KMH = 900.0
@@ -50,8 +51,8 @@ def chronological_split(df: DataFrame, order: str = "event_time_ts", tie: str =
 
 def quantile_cutoff(df: DataFrame, order: Column, share: float = 0.80, label: str = "is_fraud") -> DataFrame:
     """(side, rows, fraud_rate) before and after a quantile of the order."""
-    at = df.select(order.alias("__at"), F.col(label).alias("__y"))
-    cut = at.agg(F.percentile("__at", share).alias("__cut"))
+    at = df.select(F.lit(0).alias("__all"), order.alias("__at"), F.col(label).alias("__y"))
+    cut = exact_quantiles(at, "__all", "__at", [share]).select(F.get("quantiles", F.lit(0)).alias("__cut"))
     sided = at.crossJoin(F.broadcast(cut)).withColumn("side", F.when(F.col("__at") <= F.col("__cut"), "before").otherwise("after"))
     return sided.groupBy("side").agg(F.count("*").alias("rows"), F.avg(F.col("__y").cast("double")).alias("fraud_rate"))
 
