@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import bound, text_of, written
 
 #: Words of a window in which repeats count.
 WINDOW = 8
@@ -35,7 +36,9 @@ def with_word_counts(df: DataFrame) -> DataFrame:
     text = F.col("text")
     df = df.withColumn("words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     df = df.withColumn("lines", F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).withColumn("joined", F.array_join("words", ""))
-    windows = F.when(F.size("words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
+    # Each word is hashed once, and a window's hash is that of its words' hashes.
+    hashed = F.when(F.size("words") >= WINDOW, F.transform("words", lambda w: F.xxhash64(w)))
+    windows = bound(hashed, lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))))
     df = df.withColumn("windows", F.coalesce(windows, F.expr("cast(array() as array<bigint>)")))
     return df.select(
         *[c for c in df.columns if c not in ("text", "words", "lines", "joined", "windows")],
@@ -101,29 +104,33 @@ def votes() -> dict[str, Column]:
 def fit_votes(counts: list[tuple[tuple[int, ...], int]], rules: int = 0, rounds: int = 200, smooth: float = 1.0) -> tuple[float, list[list[list[float]]]]:
     """EM over vote patterns: the share of good documents and ``P(vote | rule, class)``.
 
-    Starts from the share of good among each pattern's votes. A table without
-    rows, or votes, leaves the start's even odds.
+    Starts from the share of good among each pattern's votes. The model alone
+    can't tell which class is the good one; it is the one to which the rules' votes
+    say good more often than to the other, all rules together, so classes that
+    have changed places are put back. A table without rows, or votes, leaves the
+    start's even odds.
     """
-    rules = len(counts[0][0]) if counts else rules
-    start = {p: (p.count(GOOD) + 0.5) / (p.count(GOOD) + p.count(BAD) + 1.0) if BAD in p or GOOD in p else 0.5 for p, _ in counts}
+    if not counts:
+        return 0.5, [[[1 / 3] * 3] * 2 for _ in range(rules)]
+    patterns, n = np.array([p for p, _ in counts]), np.array([k for _, k in counts], float)
+    cast = np.stack([patterns == v for v in range(3)], axis=2).astype(float)  # pattern, rule, vote
+    votes_good, votes_bad = cast[:, :, GOOD].sum(1), cast[:, :, BAD].sum(1)
     # A lone bad vote is weighed as half the document: rules are made to vote bad rarely.
-    good = {p: v * 0.5 ** p.count(BAD) if BAD in p else v for p, v in start.items()}
-    prior, table = 0.5, [[[1 / 3] * 3] * 2 for _ in range(rules)]
-    for _ in range(rounds if counts else 0):
-        n1 = sum(good[p] * n for p, n in counts)
-        n0 = sum((1 - good[p]) * n for p, n in counts)
-        old, prior = prior, (n1 + smooth) / (n1 + n0 + 2 * smooth)
-        table = []
-        for r in range(rules):
-            sums = [[smooth] * 3, [smooth] * 3]
-            for p, n in counts:
-                sums[1][p[r]] += good[p] * n
-                sums[0][p[r]] += (1 - good[p]) * n
-            table.append([[x / sum(s) for x in s] for s in sums])
-        good = {p: posterior(p, prior, table) for p, _ in counts}
+    good = (votes_good + 0.5) / (votes_good + votes_bad + 1.0) * 0.5**votes_bad
+    prior = 0.5
+    for _ in range(rounds):
+        weight = np.stack([(1 - good) * n, good * n])
+        old, prior = prior, (weight[1].sum() + smooth) / (n.sum() + 2 * smooth)
+        table = np.einsum("cp,prv->rcv", weight, cast) + smooth
+        table /= table.sum(2, keepdims=True)
+        log_odds = np.log(prior / (1 - prior)) + np.einsum("prv,rv->p", cast, np.log(table[:, 1] / table[:, 0]))
+        good = 1 / (1 + np.exp(-np.clip(log_odds, -700, 700)))
         if abs(prior - old) < 1e-9:
             break
-    return prior, table
+    said = np.log(table[:, 1] / table[:, 0])
+    if (said[:, GOOD] - said[:, BAD]).sum() < 0:
+        prior, table = 1 - prior, table[:, ::-1]
+    return float(prior), table.tolist()
 
 
 def posterior(pattern: tuple[int, ...], prior: float, table: list[list[list[float]]]) -> float:
