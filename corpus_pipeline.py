@@ -19,6 +19,8 @@ from riskspark.llm.queries import tokenizer_path
 from riskspark.llm.secrets import redact
 
 
+#: Words that the tokenizer remembers, twice; a Python worker also holds what other stages need.
+CACHE_PARTS = 100_000
 #: Dropped ids up to which they are broadcast, about 100 MB; more are joined by a shuffle.
 MOST_BROADCAST = 2_000_000
 
@@ -75,7 +77,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are one end id, a null source is the source "", rows
     that repeat an id are packed each; only the id, source and text are read.
     """
-    return pack_mixture(docs, tokenizer_path())
+    return pack_mixture(docs, tokenizer_path(), cache_parts=CACHE_PARTS, keep_encoder=False)
 
 
 STAGES = [

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lean, text_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Byte by byte: A-Z to a-z, other ASCII beside digits and a-z to space.
@@ -156,7 +156,7 @@ def scan_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = 10,
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "n_words", "hits", "items"])
 
     read = documents.select(id_col, "text")
-    return read.mapInArrow(scanned, f"`{id_col}` {read.schema[id_col].dataType.simpleString()}, text string, {HITS}")
+    return read.mapInArrow(lean(scanned), f"`{id_col}` {read.schema[id_col].dataType.simpleString()}, text string, {HITS}")
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -167,7 +167,7 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 10, blo
         for batch, scans in held.value.batches(batches):
             yield batch.filter(pa.array([not ranges for _, ranges, _ in scans], pa.bool_()))
 
-    return documents.mapInArrow(kept, documents.schema)
+    return documents.mapInArrow(lean(kept), documents.schema)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id") -> DataFrame:
@@ -190,7 +190,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
             )
 
     found = scan_benchmark(text_of(documents, F.col(id_col).cast("long").alias("doc_id")), benchmark, window)
-    return found.select("doc_id", "n_words", "hits", "items").mapInArrow(digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return found.select("doc_id", "n_words", "hits", "items").mapInArrow(lean(digest), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def spans_in_text(text: str, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -212,7 +212,7 @@ def contaminated_spans(documents: DataFrame, benchmark: DataFrame, window: int =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "start", "end", "passage"])
 
     found = scan_benchmark(text_of(documents, F.col(id_col).cast("long").alias("doc_id")), benchmark, window)
-    return found.filter(F.size("hits") > 0).select("doc_id", "text", "hits").mapInArrow(located, "doc_id long, start long, end long, passage string")
+    return found.filter(F.size("hits") > 0).select("doc_id", "text", "hits").mapInArrow(lean(located), "doc_id long, start long, end long, passage string")
 
 
 ORACLE = r"""

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 _OPEN = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 _TAG_AT = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAME_END = re.compile(r"[\s/>]")
@@ -450,4 +452,4 @@ def extract_pages(pages: DataFrame, model: Model | None = None, chars: int = 1_0
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *own], names=["page_id", "url", "text", "n_chars"])
 
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    return read.mapInArrow(extracted, "page_id long, url string, text string, n_chars long")
+    return read.mapInArrow(lean(extracted), "page_id long, url string, text string, n_chars long")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import join_hot
 from ..operators.graph import connected_components
-from .common import text_of, written
+from .common import lean, text_of, written
 from .tokens import blocks
 
 #: Minwise tokens of a set.
@@ -49,7 +49,7 @@ MISS = 2e-4
 BLOCK = 512
 BLOCK_SHINGLES = 250_000
 #: Characters of texts that are turned into sets together, about.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 300_000
 #: Bits of the filter of candidates' ids; more candidates than about a tenth of it only let more texts pass.
 FILTER_BITS = 1 << 26
 
@@ -130,7 +130,7 @@ def _sketches(documents: DataFrame, id_col: str, size: int) -> DataFrame:
                 )
 
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
-    return read.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, tokens array<int>")
+    return read.mapInArrow(lean(sketched), "doc_id long, n_shingles long, digest binary, tokens array<int>")
 
 
 def _digest(values: np.ndarray) -> bytes:
@@ -290,7 +290,7 @@ def _full_sets(documents: DataFrame, id_col: str, size: int, ids: DataFrame) ->
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "values"])
 
     texts = text_of(documents, F.col(id_col).cast("long").alias("id")).filter("id is not null")
-    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(valued, "id long, mark long, values binary"), "full-sets")
+    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(lean(valued), "id long, mark long, values binary"), "full-sets")
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -308,7 +308,7 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["src", "dst"])
 
-    return joined.select("a", "b", "va", "vb").mapInArrow(compared, "src long, dst long")
+    return joined.select("a", "b", "va", "vb").mapInArrow(lean(compared), "src long, dst long")
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 12, levels: int = 8, leaf: int = BLOCK) -> DataFrame:

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
-from .tokens import blocks, encoder
+from .common import lean, text_of, written
+from .tokens import CACHE_PARTS, blocks, encoder, release_encoders
 
 #: Sources with a queue of their own; the targets are a table that every task holds. The rarer rest shares one queue.
 MAX_SOURCES = 10_000
@@ -48,6 +48,7 @@ class Mixture:
         self.weights = self.weights / max(self.weights.sum(), 1e-300)
         self.total = int(self.totals.sum())
         self._known: dict[int, np.ndarray] = {}
+        self._windows: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def _served(self, time: float) -> np.ndarray:
         return np.minimum(self.totals, np.floor(np.minimum(self.weights * time + 0.5, 2.0**62)).astype(np.int64))
@@ -74,13 +75,26 @@ class Mixture:
         self._known[position] = out
         return out
 
+    def window(self, k: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each source its first token in window k, its end there, and the position of that first token."""
+        if (known := self._windows.get((k, size))) is not None:
+            return known
+        here, after = self.before(k * size), self.before((k + 1) * size)
+        taken = after - here
+        if len(self._windows) >= 4096 or len(self._windows) * len(here) > KNOWN_NUMBERS:
+            self._windows.clear()
+        out = self._windows[k, size] = here, after, k * size + np.cumsum(taken) - taken
+        return out
+
     def window_of(self, source: int, token: int, size: int) -> int:
         """The window that serves this token of the source."""
         low, high = 0, -(-self.total // size) - 1
         guess = int(self._served((token + 0.5) / self.weights[source]).sum()) // size
-        for near in (guess - 1, guess, guess + 1):  # nearly always right
-            if low <= near <= high and self.before(near * size)[source] <= token < self.before((near + 1) * size)[source]:
-                return near
+        for near in (guess, guess - 1, guess + 1):  # nearly always right
+            if low <= near <= high:
+                here, after, _ = self.window(near, size)
+                if here[source] <= token < after[source]:
+                    return near
         while low < high:
             mid = (low + high) // 2
             if self.before((mid + 1) * size)[source] > token:
@@ -90,26 +104,28 @@ class Mixture:
         return low
 
 
+#: The id that ends every document, as four bytes.
+END = bytes(4)
 TOKENS = "doc_id long, source string, part int, first long, n long, width int, ids binary"
 PIECES = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def tokenize(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def tokenize(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_id", source_col: str = "source", cache_parts: int = CACHE_PARTS, keep_encoder: bool = True) -> DataFrame:
     """The ids of every document, with its place in the queue of its source within this part."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, enc, at = TaskContext.get().partitionId(), encoder(tokenizer_path), {}
+        part, enc, at = TaskContext.get().partitionId(), encoder(tokenizer_path, cache_parts), {}
         for batch in batches:
             keys, sources, texts = (batch.column(i).to_pylist() for i in range(3))
             for a, b in blocks(texts):
                 first, ids = [], []
                 for source, raw in zip(sources[a:b], enc.encode(texts[a:b]), strict=True):
-                    own = np.append(np.frombuffer(raw, "<u4"), 0).astype(f"<u{enc.width}")
+                    raw += END
                     first.append(at.get(source, 0))
-                    at[source] = first[-1] + len(own)
-                    ids.append(own.tobytes())
+                    at[source] = first[-1] + len(raw) // 4
+                    ids.append(np.frombuffer(raw, "<u4").astype("<u2").tobytes() if enc.width == 2 else raw)
                 n = b - a
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -118,9 +134,12 @@ def tokenize(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     ],
                     names=["doc_id", "source", "part", "first", "n", "width", "ids"],
                 )
+        if not keep_encoder:
+            del enc
+            release_encoders()
 
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
-    return written(read.mapInArrow(encoded, TOKENS), "tokens")
+    return written(read.mapInArrow(lean(encoded), TOKENS), "tokens")
 
 
 def pack_mixture(
@@ -131,6 +150,8 @@ def pack_mixture(
     window_sequences: int = 32,
     id_col: str = "doc_id",
     source_col: str = "source",
+    cache_parts: int = CACHE_PARTS,
+    keep_encoder: bool = True,
 ) -> DataFrame:
     """Pieces of documents in sequences of ``sequence_tokens`` ids.
 
@@ -142,12 +163,14 @@ def pack_mixture(
 
     Null and empty texts are one end id; a null source is the source ``""``;
     repeated rows are separate documents. An empty table gives no row. Only the
-    id, source and text columns are read.
+    id, source and text columns are read. ``cache_parts`` bounds the memory of the
+    tokenizer's cache; without ``keep_encoder`` each task loads the tokenizer
+    anew, and workers don't hold it afterwards.
 
     No shuffle of tokens: they are written once, the sums by part and source
     give each queue's places, and pieces are cut where the tokens are read.
     """
-    tokens = tokenize(documents, tokenizer_path, id_col, source_col)
+    tokens = tokenize(documents, tokenizer_path, id_col, source_col, cache_parts, keep_encoder)
     sums = written(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")), "queue-sums")
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
     named = F.col("source").isin(list(weights)) if weights else F.lit(False)
@@ -175,12 +198,12 @@ def pack_mixture(
         for batch in batches:
             out: list[tuple] = []
             for doc_id, source, first, n, width, ids in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
-                wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
+                wide = memoryview(ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes())
                 s, at = mixture.index[(0, source) if (0, source) in mixture.index else shared], 0
                 k = mixture.window_of(s, first, window)
                 while at < n:
-                    here, after = mixture.before(k * window), mixture.before((k + 1) * window)
-                    place = k * window + int((after[:s] - here[:s]).sum()) + first + at - int(here[s])
+                    here, after, places = mixture.window(k, window)
+                    place = int(places[s]) + first + at - int(here[s])
                     end = min(n, int(after[s]) - first)
                     while at < end:
                         length = min(end - at, sequence_tokens - place % sequence_tokens)
@@ -193,4 +216,4 @@ def pack_mixture(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     placed = tokens.join(bases, ["part", "source"]).select("doc_id", "source", (F.col("base") + F.col("first")).alias("first"), "n", "width", "ids")
-    return placed.mapInArrow(cut, PIECES)
+    return placed.mapInArrow(lean(cut), PIECES)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lean, text_of
 
 #: Labelled rows to fit on, about.
 TRAIN_ROWS = 50_000
@@ -77,7 +77,7 @@ def document_statistics(documents: DataFrame, *keep: str) -> DataFrame:
 
     df = text_of(documents, *keep)
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1]), *(f"{x} double" for x in FEATURES)])
-    return df.mapInArrow(measured, kinds)
+    return df.mapInArrow(lean(measured), kinds)
 
 
 @dataclass
@@ -170,7 +170,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(own, names=["doc_id", "held_out", "score", "predicted"])
 
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"))
-    return read.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+    return read.mapInArrow(lean(scored), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = 0.3) -> DataFrame:
@@ -181,4 +181,4 @@ def keep_good(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in batches:
             yield batch.filter(pa.array(_scores(batch.column("text").to_pylist(), model) >= threshold))
 
-    return documents.mapInArrow(kept, documents.schema)
+    return documents.mapInArrow(lean(kept), documents.schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import lean, text_of, written
 from .tokens import blocks, encoder
 
 MAGIC = b"EFS1"
@@ -155,7 +155,7 @@ def write_token_segments(documents: DataFrame, tokenizer_path: str, id_col: str
 
     texts = text_of(documents, F.col(id_col).cast("long").alias("id")).withColumn("tie", F.xxhash64("text"))
     ordered = texts.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
-    return written(ordered.mapInArrow(encoded, SEGMENTS), "segments")
+    return written(ordered.mapInArrow(lean(encoded), SEGMENTS), "segments")
 
 
 def read_token_segments(segments: DataFrame) -> DataFrame:
@@ -188,4 +188,4 @@ def read_token_segments(segments: DataFrame) -> DataFrame:
                 )
 
     read = segments.select("part", "first", "doc_ids", "payload")
-    return read.mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read.mapInArrow(lean(decoded), "doc_id long, start long, n_tokens long, ids_crc32 long")

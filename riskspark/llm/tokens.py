@@ -15,8 +15,8 @@ import re
 import string
 from array import array
 
-#: Parts in each of the two generations of the cache.
-CACHE_PARTS = 300_000
+#: Parts in each of the two generations of the cache, about 150 bytes each.
+CACHE_PARTS = 500_000
 #: Marks that make one piece after a letter; an apostrophe may belong to an ending.
 MARKS = string.punctuation.replace("'", "")
 #: Before a part: it stands after a line feed, or starts its text. Else a space stands before it.
@@ -35,6 +35,7 @@ class Parts(dict):
 
     def __init__(self, encoder: "Encoder"):
         self.encoder = encoder
+        self.most = CACHE_PARTS
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
@@ -46,7 +47,7 @@ class Parts(dict):
 
     def age(self) -> None:
         """Start a new generation if this one is full."""
-        if len(self) > CACHE_PARTS:
+        if len(self) > self.most:
             self.old = dict(self)
             self.clear()
 
@@ -100,7 +101,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         ids, out = self.parts.__getitem__, []
         for text in texts:
-            if any(x in text for x in self.added):
+            if any(map(text.__contains__, self.added)):
                 out.append(self.whole(text))
                 continue
             flat = text.replace("\n", " ")
@@ -115,13 +116,19 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python process for ``path``; it outlives a task."""
+def encoder(path: str, cache_parts: int = CACHE_PARTS) -> Encoder:
+    """The encoder of this Python process for ``path``; it outlives a task, with a cache of ``cache_parts`` twice."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].parts.most = cache_parts
     return _ENCODERS[path]
 
 
+def release_encoders() -> None:
+    """Forget the encoders of this Python process."""
+    _ENCODERS.clear()
+
+
 def blocks(texts: list[str], chars: int = 4_000_000):
     """(start, end) of runs of texts of about ``chars`` characters; one text at least."""
     start, size = 0, 0
