@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -25,15 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file, about, where their number is known to be small.
+ROWS_A_FILE = 20_000
+
+
+def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of it.
 
+    ``most`` is a bound of its rows, if one is known; few rows go to few files.
     Cuts the lineage: an executor lost later costs a re-read, not a re-run.
     The folder is deleted when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if most is None else df.coalesce(max(1, math.ceil(most / ROWS_A_FILE)))).write.parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,28 +11,30 @@ from ..functions.skew import join_hot
 from .joins import pagerank_degree_community
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most: int | None = None) -> DataFrame:
     """(id, component) of every vertex with an edge; component is its smallest reachable id.
 
     Alternates large-star and small-star rounds until every vertex points at its
     root, a number of rounds that grows with the logarithm of the longest chain.
     Each round is written to the shared folder. A vertex of very many neighbours
     is joined by a broadcast, so its neighbours don't meet in one task. Nulls and
-    self-loops are no edges.
+    self-loops are no edges. ``most`` is a bound of the edges, if one is known.
     """
     a, b = F.col(src), F.col(dst)
     links = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    links = written(links, "links")
+    links = written(links, "links", most)
     while not _is_star_forest(links):
+        n = links.count()
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree"))
         # Large star: every larger neighbour is linked to the smallest one.
-        large = join_hot(both, low, "u", "degree", 2 * links.count()).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        large = join_hot(both, low, "u", "degree", 2 * n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # Small star: so are the smaller neighbours and the vertex itself.
-        small = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-        large, small = written(large, "large-star"), written(small, "small-star")
-        moved = join_hot(large, small, "u", "degree", large.count()).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = written(moved.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "links")
+        # A row of each star for each of the n links and, at most, for each of their ends.
+        large = written(large, "large-star", 2 * n)
+        small = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")), "small-star", 2 * n)
+        moved = join_hot(large, small, "u", "degree", 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = written(moved.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "links", 4 * n)
     roots = links.select(F.col("v").alias("id")).distinct()
     return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots.select("id", F.col("id").alias("component")))
 
