@@ -182,18 +182,18 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("c", F.coalesce("c", "id"))
 
 
-def _open_nodes(rows: DataFrame) -> DataFrame:
+def _open_nodes(rows: DataFrame, most: int) -> DataFrame:
     """``rows`` (key, n, c, ...) of nodes that hold several components, with the node's ``size`` and ``weight``, the sum of n.
 
     Nodes whose documents are one component already have nothing to add and end.
     """
-    rows = written(rows, "rows")
+    rows = written(rows, "rows", most)
     nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.count("*").alias("held"), F.sum("n").alias("weight"), F.min("c").alias("low"), F.max("c").alias("high"))
-    mixed = written(nodes.filter("low <> high").drop("low", "high"), "mixed")
-    return written(join_hot(rows, mixed, "key", "held", rows.count()), "open")
+    mixed = written(nodes.filter("low <> high").drop("low", "high"), "mixed", most)
+    return written(join_hot(rows, mixed, "key", "held", most), "open", most)
 
 
-def _ended_nodes(nodes: DataFrame, sets: DataFrame, found: DataFrame, trees: int, levels: int, leaf: int) -> DataFrame:
+def _ended_nodes(nodes: DataFrame, sets: DataFrame, found: DataFrame, trees: int, levels: int, leaf: int, most: int) -> DataFrame:
     """Open nodes (key, id, mark, c, size, weight) where branching ends: small ones, and all of the last level."""
     ended: list[DataFrame] = []
     rows = _named(nodes.select("id", "mark", "tree", "key"), found)
@@ -203,7 +203,7 @@ def _ended_nodes(nodes: DataFrame, sets: DataFrame, found: DataFrame, trees: int
         if level > 1:
             keys = F.array(*[_key_of(t, level, trees, levels) for t in range(trees)])
             known = known.withColumn("key", F.get(keys, F.col("tree").cast("int")))
-        opened = _open_nodes(known.select("id", "mark", "tree", "key", "n", "c"))
+        opened = _open_nodes(known.select("id", "mark", "tree", "key", "n", "c"), most)
         large = opened.filter(F.col("size") > leaf)
         if level == levels or large.isEmpty():
             ended.append(opened)
@@ -347,11 +347,14 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
     several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id")
     several = known.select("doc_id", "digest").join(several, "doc_id").distinct().join(groups, "digest").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
 
-    links = written(_confirmed(_leaders(nodes), full, percent).unionByName(several), "links")
-    found = written(connected_components(links), "components")
-    more = written(_compared(_ended_nodes(nodes, sets, found, trees, levels, leaf), full, percent), "links")
+    # Rows of shared nodes: what follows has no more of them, so that their tables are few files where there are few.
+    most = nodes.count()
+    links = written(_confirmed(_leaders(nodes), full, percent), "links").unionByName(written(several, "several"))
+    found = written(connected_components(links, most=links.count()), "components", most)
+    more = written(_compared(_ended_nodes(nodes, sets, found, trees, levels, leaf, most), full, percent), "links")
     if not more.isEmpty():
-        found = written(connected_components(found.toDF("src", "dst").unionByName(more)), "components")
+        links = found.toDF("src", "dst").unionByName(more)
+        found = written(connected_components(links, most=links.count()), "components", most)
 
     named = written(groups.join(found, "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("component")), "named")
     placed = join_hot(known.select("doc_id", "n_shingles", "digest"), named, "digest", "copies", sketches.count())
