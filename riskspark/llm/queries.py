@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import centroids, decontaminate, vector_codes
+from .byte_bpe import round_trip
+from .centroids import cluster_vectors
 from .common import table
 from .decontaminate import contamination
 from .html_text import extract_pages
@@ -18,6 +20,7 @@ from .quality_classifier import score_quality
 from .quality_rules import judge_quality
 from .secrets import find_secrets
 from .token_file import read_token_segments, write_token_segments
+from .vector_codes import compress_vectors
 
 
 def tokenizer_path() -> str:
@@ -66,6 +69,20 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -77,5 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_byte_bpe": op13_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_centroid_clusters": centroids.ORACLE}
