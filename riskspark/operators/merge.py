@@ -3,18 +3,24 @@
 Plain Parquet has no MERGE. An insert appends what an anti join leaves; an
 upsert of partitioned snapshots overwrites the partitions it touches; an upsert
 of single rows writes a new version of the table beside the old one and then
-moves a pointer, so that readers never see half of it.
+publishes a pointer to it, so that readers never see half of it. ``keyed`` has
+tables that rewrite only the files an upsert touches.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.store import Refused, Store
 from .joins import new_rows
 
+#: Partition values that may reach the driver as a filter.
+FEW_PARTITIONS = 1000
+
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after inserting source rows of new keys, one a key."""
@@ -31,9 +37,7 @@ def append_new(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder has files of a table, in any store that Spark reads."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop))
+    return any(not n.startswith(("_", ".")) for n in Store(spark, path).names(path))
 
 
 def assert_unique(source: DataFrame, keys: Sequence[str]) -> None:
@@ -52,7 +56,8 @@ def overwrite_partitions(source: DataFrame, path: str, keys: Sequence[str], part
     """Upsert whole rows where the partition column is part of the key: touched partitions are rewritten.
 
     Known keys that the source lacks stay, so rows of those partitions are read
-    back first; only touched partitions are read.
+    back first, and of no other while the source touches at most ``FEW_PARTITIONS``;
+    beyond that a join picks them.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
@@ -61,8 +66,10 @@ def overwrite_partitions(source: DataFrame, path: str, keys: Sequence[str], part
     if exists(spark, path):
         from ..functions.lineage import written
 
-        touched = [r[0] for r in source.select(partition).distinct().collect()]
-        source = written(upsert_all(spark.read.parquet(path).filter(F.col(partition).isin(touched)), source, keys), "merged")
+        touched, table = source.select(partition).distinct(), spark.read.parquet(path)
+        few = [r[0] for r in touched.limit(FEW_PARTITIONS + 1).collect()]
+        mine = table.filter(F.col(partition).isin(few)) if len(few) <= FEW_PARTITIONS else table.join(touched, partition, "left_semi")
+        source = written(upsert_all(mine, source, keys), "merged")
     source.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
@@ -94,17 +101,23 @@ def upsert_set(target: DataFrame, source: DataFrame, keys: Sequence[str], column
 
 
 def write_version(df: DataFrame, root: str, version: int) -> str:
-    """Write a new version of a table and move its pointer to it."""
-    path = f"{root}/v{version}"
-    df.write.mode("overwrite").parquet(path)
-    df.sparkSession.createDataFrame([(version, path)], "version int, path string").coalesce(1).write.mode("append").json(f"{root}/pointer")
-    return path
+    """Write a new version of a table and point to it; ``Refused`` if another writer took that number."""
+    name, store = f"v{version}-{uuid.uuid4().hex}", Store(df.sparkSession, root)
+    df.write.parquet(f"{root}/{name}")
+    store.fs.mkdirs(store.path(f"{root}/pointer"))
+    try:
+        store.publish(f"{root}/pointer/{version:020d}", name)
+    except Refused:
+        store.delete(f"{root}/{name}")
+        raise
+    return f"{root}/{name}"
 
 
 def read_version(spark: SparkSession, root: str) -> DataFrame:
     """The table's newest version."""
-    newest = spark.read.schema("version int, path string").json(f"{root}/pointer").orderBy(F.desc("version")).first()
-    return spark.read.parquet(newest["path"])
+    store = Store(spark, root)
+    newest = [n for n in store.names(f"{root}/pointer") if not n.startswith(".")][-1]
+    return spark.read.parquet(f"{root}/{store.read(f'{root}/pointer/{newest}')}")
 
 
 CASE_SET = ("fraud_probability", "scoring_mode", "decision_action", "model_version", "updated_at")

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..functions.lineage import shared_dir, written
-from ..operators import clean, drift, labels, merge, model
+from ..functions.store import Store
+from ..operators import clean, drift, keyed, labels, merge, model
 from ..sources import files
 from ..streaming import events
-from .catalogue import _BODY, _EDGES, _REPORT, _halves, _messages, as_of, query, rounded
+from .catalogue import _BODY, _EDGES, _REPORT, ORACLES, _halves, _messages, _reconciled, as_of, query, rounded
 from .fixtures import load
 
 
@@ -156,6 +157,46 @@ def s11_bronze_stream(spark, sf_dir):
     return good.select("transaction_id", F.lit("bronze").alias("side")).unionByName(bad.select(F.lit(None).cast("string").alias("transaction_id"), F.lit("quarantine").alias("side")))
 
 
+@query(f"SELECT CAST(event_id AS VARCHAR) AS transaction_id, 'bronze' AS side FROM events WHERE {_BODY} = 'ok' UNION ALL SELECT NULL, 'quarantine' FROM events WHERE coalesce({_BODY}, '') <> 'ok'")
+def s11_replayed_batch(spark, sf_dir):
+    """The bronze stream again, whose last batch comes a second time because its end was never noted."""
+    raw, bronze, quarantine, checkpoint = (_folder(spark, x) for x in ("messages", "bronze", "quarantine", "progress"))
+    _messages(spark, sf_dir).write.parquet(raw)
+    stream, store = events.read_table_stream(spark, raw, "value string", 2), Store(spark, checkpoint)
+    for _ in range(2):
+        events.bronze_writer(stream, bronze, quarantine, checkpoint, {"availableNow": True}).awaitTermination()
+        store.delete(f"{checkpoint}/commits/{max(map(int, filter(str.isdigit, store.names(f'{checkpoint}/commits'))))}")
+    good, bad = spark.read.parquet(bronze), spark.read.parquet(quarantine)
+    return good.select("transaction_id", F.lit("bronze").alias("side")).unionByName(bad.select(F.lit(None).cast("string").alias("transaction_id"), F.lit("quarantine").alias("side")))
+
+
+_LATE = """WITH b AS (SELECT transaction_id, event_time_ts, transaction_id % 3 AS batch FROM txn), m AS (SELECT batch, max(event_time_ts) AS t FROM b GROUP BY batch), n AS (SELECT b1.batch, max(m.t) AS newest FROM m AS b1 LEFT JOIN m ON m.batch < b1.batch GROUP BY b1.batch)
+    SELECT transaction_id, coalesce(event_time_ts < newest - INTERVAL 10 MINUTE, false) AS late FROM b JOIN n USING (batch)"""
+
+
+@query(_LATE, "txn")
+def t8_late_rows(spark, sf_dir):
+    """All rows in three batches; a row is late against the newest time of the batches before its own."""
+    raw, table, dead, checkpoint = (_folder(spark, x) for x in ("rows", "on_time", "late", "progress"))
+    rows = load(spark, sf_dir, "txn").select("transaction_id", "event_time_ts")
+    for i in range(3):
+        rows.filter(F.col("transaction_id") % 3 == i).write.mode("append").parquet(raw)
+        events.late_writer(events.read_table_stream(spark, raw, rows.schema), table, dead, checkpoint, trigger={"availableNow": True}).awaitTermination()
+    read = lambda folder, late: spark.read.parquet(folder).select("transaction_id", F.lit(late).alias("late"))
+    return read(table, False).unionByName(read(dead, True))
+
+
+@query("SELECT 'cases' AS output, transaction_id FROM scores WHERE champion >= 0.1 UNION ALL SELECT 'audit', transaction_id FROM scores WHERE champion >= 0.1 UNION ALL SELECT 'step_up', transaction_id FROM scores WHERE champion >= 0.1 AND champion < 0.6", "scores")
+def t10_routed_stream(spark, sf_dir):
+    """Decisions as a stream, each sent twice, into the three keyed outputs."""
+    raw, root, checkpoint = (_folder(spark, x) for x in ("rows", "routed", "progress"))
+    rows = load(spark, sf_dir, "scores").select("transaction_id", "champion")
+    rows.unionByName(rows).write.parquet(raw)
+    events.route_writer(events.read_table_stream(spark, raw, rows.schema), root, checkpoint, {"availableNow": True}, "champion", 8).awaitTermination()
+    out = [keyed.read_keyed(spark, f"{root}/{name}").select(F.lit(name).alias("output"), "transaction_id") for name in ("cases", "audit", "step_up")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query("SELECT transaction_id, amount FROM txn", "txn")
 def s13_upserted_stream(spark, sf_dir):
     """Every row sent twice, kept once."""
@@ -163,7 +204,7 @@ def s13_upserted_stream(spark, sf_dir):
     rows = load(spark, sf_dir, "txn").select("transaction_id", "amount")
     rows.unionByName(rows).write.parquet(raw)
     events.upsert_writer(events.read_table_stream(spark, raw, rows.schema, 1), table, ["transaction_id"], checkpoint, trigger={"availableNow": True}).awaitTermination()
-    return spark.read.parquet(table)
+    return keyed.read_keyed(spark, table)
 
 
 @query(f"WITH {_EDGES} SELECT src, dst, relationship FROM e", "txn")
@@ -172,7 +213,7 @@ def r8_edge_stream(spark, sf_dir):
     rows = load(spark, sf_dir, "txn").select("customer_id", "card_id", "device_id")
     rows.write.parquet(raw)
     events.edges_writer(events.read_table_stream(spark, raw, rows.schema), vertices, edges, checkpoint, {"availableNow": True}).awaitTermination()
-    return spark.read.parquet(edges)
+    return keyed.read_keyed(spark, edges)
 
 
 @query("SELECT transaction_id, card_id FROM txn", "txn")
@@ -202,6 +243,25 @@ def m5_append_new(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders")
+def m2_keyed_upsert(spark, sf_dir):
+    """Orders that 3 doesn't divide as a keyed table; then all even ones and multiples of 3, changed, by rewriting the files they are in."""
+    root, orders = _folder(spark, "orders"), load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    keyed.insert_keyed(orders.filter("o_orderkey % 3 <> 0"), root, ["o_orderkey"], buckets=8)
+    keyed.upsert_keyed(orders.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0").withColumn("o_totalprice", -F.col("o_totalprice")), root, ["o_orderkey"])
+    return keyed.read_keyed(spark, root)
+
+
+@query(ORACLES["m3_upsert_if"])
+def m3_keyed_labels(spark, sf_dir):
+    """Early labels in a keyed table, replaced by later ones where those are surer or settled."""
+    root, columns = _folder(spark, "labels"), ["transaction_id", "is_fraud_reconciled", "label_source", "label_confidence"]
+    early, late = (_reconciled(spark, sf_dir, day).select(*columns) for day in (F.expr("TIMESTAMP_NTZ '2024-01-31 00:00:00'"), None))
+    keyed.insert_keyed(early, root, ["transaction_id"], buckets=8)
+    keyed.upsert_keyed(late, root, ["transaction_id"], merge.labels_condition())
+    return keyed.read_keyed(spark, root)
+
+
 # Drift and models -----------------------------------------------------------------
 
 

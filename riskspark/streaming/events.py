@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from ..functions.scalars import classify_decision
 from ..operators.clean import REQUIRED
 from ..operators.graph import build_entity_graph
-from ..operators.merge import append_new
+from ..operators.keyed import insert_keyed
+from .batches import commit_batch, newest_before, stream_id
 
 EVENT = T.StructType(
     [
@@ -58,36 +59,38 @@ def split_parse_failures(parsed: DataFrame, at: Column | None = None) -> tuple[D
 
 
 def bronze_writer(raw: DataFrame, bronze: str, quarantine: str, checkpoint: str, trigger: dict | None = None):
-    """One query for both outputs: each batch is parsed once, kept, and written to bronze by date and to quarantine."""
+    """One query for both outputs: each batch is parsed once, kept, and written to bronze by date and to quarantine.
+
+    Each output has a folder a batch, so a batch that comes again after a crash, at
+    whatever point, leaves both as they are.
+    """
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_events(batch).persist()
+        parsed, own = parse_events(batch).persist(), stream_id(batch)
         good, bad = split_parse_failures(parsed)
-        good.withColumn("event_date", F.try_to_timestamp("event_time").cast("date")).write.mode("append").partitionBy("event_date").parquet(bronze)
-        bad.write.mode("append").parquet(quarantine)
+        commit_batch(good.withColumn("event_date", F.try_to_timestamp("event_time").cast("date")), bronze, own, batch_id, ["event_date"])
+        commit_batch(bad, quarantine, own, batch_id)
         parsed.unpersist()
 
     return raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def upsert_writer(stream: DataFrame, path: str, keys: list[str], checkpoint: str, partition_by: tuple[str, ...] = (), trigger: dict | None = None):
-    """Insert rows of new keys only, so that a batch that comes twice leaves the table as it is."""
-    spark = stream.sparkSession
+def upsert_writer(stream: DataFrame, path: str, keys: list[str], checkpoint: str, partition_by: tuple[str, ...] = (), trigger: dict | None = None, buckets: int = 64):
+    """Insert rows of new keys only, each batch once, into a table dealt by key; a batch reads the buckets that it touches."""
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        append_new(spark, path, batch, keys, partition_by)
+        insert_keyed(batch, path, keys, stream_id(batch), batch_id, buckets, partition_by)
 
     return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
-def edges_writer(stream: DataFrame, vertices: str, edges: str, checkpoint: str, trigger: dict | None = None):
+def edges_writer(stream: DataFrame, vertices: str, edges: str, checkpoint: str, trigger: dict | None = None, buckets: int = 64):
     """Vertices, then edges, of each batch, each inserted once; nothing is collected."""
-    spark = stream.sparkSession
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         v, e = build_entity_graph(batch)
-        append_new(spark, vertices, v, ["id"])
-        append_new(spark, edges, e, ["src", "dst", "relationship"])
+        insert_keyed(v, vertices, ["id"], stream_id(batch), batch_id, buckets)
+        insert_keyed(e, edges, ["src", "dst", "relationship"], stream_id(batch), batch_id, buckets)
 
     return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 minutes"})).start()
 
@@ -110,17 +113,21 @@ def split_late_events(batch: DataFrame, newest, delay: str = WATERMARK, ts: str
     return batch.filter(~late), batch.filter(late).withColumns({"_rejection_reason": F.lit("LATE_WATERMARK_DROP"), "_quarantined_at": stamp, "_gate": F.lit("watermark")})
 
 
-def late_writer(stream: DataFrame, path: str, quarantine: str, checkpoint: str, ts: str = "event_time_ts", delay: str = WATERMARK, trigger: dict | None = None):
-    """Write rows on time to ``path`` and late ones to quarantine; the newest time is read back from the table itself."""
-    from ..operators.merge import exists
+def late_writer(stream: DataFrame, path: str, quarantine: str, checkpoint: str, ts: str = "event_time_ts", delay: str = WATERMARK, trigger: dict | None = None, marks: str | None = None):
+    """Write rows on time to ``path`` and late ones to quarantine, each batch once.
 
-    spark = stream.sparkSession
+    A row is late against the newest time of the batches before its own, of which
+    each leaves a mark in ``marks`` (beside the table if not given); the table itself
+    is never read.
+    """
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        newest = spark.read.parquet(path).agg(F.max(ts)).first()[0] if exists(spark, path) else None
-        good, late = split_late_events(batch, newest, delay, ts)
-        good.write.mode("append").parquet(path)
-        late.write.mode("append").parquet(quarantine)
+        kept, own = batch.persist(), stream_id(batch)
+        newest = newest_before(kept, marks or f"{path.rstrip('/')}-marks", own, batch_id, ts)
+        good, late = split_late_events(kept, newest, delay, ts)
+        commit_batch(good, path, own, batch_id)
+        commit_batch(late, quarantine, own, batch_id)
+        kept.unpersist()
 
     return stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
@@ -132,13 +139,13 @@ def route_decisions(batch: DataFrame, p: str = "fraud_probability") -> dict[str,
     return {"cases": watched, "audit": watched, "step_up": watched.filter("decision_action = 'step_up'")}
 
 
-def route_writer(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
-    """One query that writes every output of each batch, deciding once."""
+def route_writer(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, p: str = "fraud_probability", buckets: int = 64):
+    """One query that writes every output of each batch, deciding once; one row a transaction, each batch once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        for name, df in route_decisions(kept).items():
-            append_new(stream.sparkSession, f"{root}/{name}", df, ["transaction_id"])
+        kept, own = batch.persist(), stream_id(batch)
+        for name, df in route_decisions(kept, p).items():
+            insert_keyed(df, f"{root}/{name}", ["transaction_id"], own, batch_id, buckets)
         kept.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
