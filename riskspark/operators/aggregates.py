@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .windows import SKETCH_LG_K
+
 
 def _median(c: Column, exact: bool) -> Column:
     return F.percentile(c, 0.5) if exact else F.percentile_approx(c, 0.5)
@@ -149,5 +153,29 @@ def distinct_counts(df: DataFrame, *columns: str, exact: bool = True) -> DataFra
     return df.agg(*[count(c).alias(f"distinct_{c}") for c in columns])
 
 
+def distinct_sketches(df: DataFrame, columns: Sequence[str], *groups: str, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """(groups..., rows, <column>_sketch...): a day's distinct values as sketches, to be stored a day and united later.
+
+    ``groups`` name the day and whatever else is asked for, such as a customer. A
+    column without values has a null sketch.
+    """
+    return df.groupBy(*groups).agg(F.count("*").alias("rows"), *[F.hll_sketch_agg(F.col(c), lg_k).alias(f"{c}_sketch") for c in columns])
+
+
+def united_distinct(sketches: DataFrame, columns: Sequence[str], *groups: str) -> DataFrame:
+    """(groups..., rows, distinct_<column>...) of stored sketches: counts over any days, none of whose rows is read again.
+
+    The relative error is about 1.04 / sqrt(2^lg_k) of the sketches, whatever number
+    of them is united; small counts are exact.
+    """
+    return sketches.groupBy(*groups).agg(F.sum("rows").alias("rows"), *[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(f"distinct_{c}") for c in columns])
+
+
+def distinct_as_of(sketches: DataFrame, columns: Sequence[str], as_of: Column, days: int, *groups: str, day: str = "event_date") -> DataFrame:
+    """``united_distinct`` of the ``days`` whole days before ``as_of``."""
+    last = as_of.cast("date")
+    return united_distinct(sketches.filter((F.col(day) < last) & (F.col(day) >= F.date_sub(last, days))), columns, *groups)
+
+
 def event_type_daily_counts(df: DataFrame, kind: str = "event_type", ts: str = "created_at") -> DataFrame:
     return df.groupBy(kind, F.col(ts).cast("date").alias("day")).agg(F.count("*").alias("events"))

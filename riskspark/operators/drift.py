@@ -2,19 +2,23 @@
 
 Features are unpivoted to (feature, side, value) and handled together: one scan
 counts all values, whatever the number of features, and every measure is made of
-the counts.
+the counts. Where nearly every value is distinct, the same measures come from
+quantile sketches, which merge over tasks and days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import written
 from ..functions.ranges import quantiles_of, running_sums
 
 EPS = 1e-6
+#: Size of the sketch of a feature's values, which is some 100 KB at most, with ranks within 0.13 %; quantiles read from it.
+SKETCH_K, SKETCH_POINTS = 4096, 2000
 #: Fixed thresholds: (warning, critical).
 PSI, JSD, KS, KS_P = (0.10, 0.25), (0.05, 0.15), (0.05, 0.10), (0.01, 0.001)
 
@@ -95,23 +99,81 @@ def ks_from(counts: DataFrame) -> DataFrame:
     gaps = counts.join(F.broadcast(sizes_from(counts)), "feature").filter("ref_n > 0 and cur_n > 0")
     gap = F.abs(F.col("r_running") / F.col("ref_n") - F.col("c_running") / F.col("cur_n"))
     found = gaps.groupBy("feature").agg(F.max(gap).alias("ks_stat"), F.max((F.col("ref_n") * F.col("cur_n")) / (F.col("ref_n") + F.col("cur_n"))).alias("en"))
-    x = -2 * F.col("ks_stat") * F.col("ks_stat") * F.col("en")
+    return found.select("feature", "ks_stat", ks_p_value(F.col("ks_stat"), F.col("en")).alias("ks_p_value"))
+
+
+def ks_p_value(stat: Column, en: Column) -> Column:
+    """The asymptotic p of a gap, for an effective number of values."""
+    x = -2 * stat * stat * en
     terms = [F.lit(2.0 * (-1) ** (k - 1)) * F.exp(x * (k * k)) for k in range(1, 101)]
     series = F.aggregate(F.array(*terms), F.lit(0.0), lambda a, b: a + b)
-    return found.select("feature", "ks_stat", F.when(F.col("ks_stat") == 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series))).alias("ks_p_value"))
+    return F.when(stat == 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+
+
+# Measures of sketches ---------------------------------------------------------
+
+
+def rank_error(k: int) -> float:
+    """The error of a rank read from a sketch of size ``k``, as a share of all values, that 99 in 100 sketches keep."""
+    return 2.296 / k**0.9021
+
 
+def side_sketches(values: DataFrame, k: int = SKETCH_K, *more: str) -> DataFrame:
+    """(feature, side, ``more``..., sketch, n, lo, hi): a quantile sketch of each feature and side, as of a day if ``more`` has one.
 
-def feature_drift_report(reference: DataFrame, current: DataFrame, features: Sequence[str], least: int = 30) -> DataFrame:
+    Values are sketched where they are read; only sketches are shuffled.
+    """
+    return values.groupBy("feature", "side", *more).agg(F.kll_sketch_agg_double("value", k).alias("sketch"), F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """(feature, side, sketch, n, lo, hi) of several days' sketches."""
+    return sketches.groupBy("feature", "side").agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def sketched_counts(sketches: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
+    """What ``value_counts`` gives, from one sketch a feature and side: ``points`` quantiles that share the side's rows evenly.
+
+    So every measure of counts is one of sketches, with shares that are off by
+    ``rank_error`` and 1 / ``points`` at most. Both ends of the range stand there
+    with no rows of their own. A feature has 2 * ``points`` + 2 rows at most, so
+    they are summed up in one window.
+    """
+    grid = F.array(*[F.lit((i + 0.5) / points) for i in range(points)])
+    inner = sketches.select("feature", "side", (F.col("n") / points).alias("w"), F.explode(F.kll_sketch_get_quantile_double("sketch", grid)).alias("value"))
+    ends = sketches.select("feature", "side", F.lit(0.0).alias("w"), F.explode(F.array("lo", "hi")).alias("value"))
+    weight = lambda s: F.sum(F.when(F.col("side") == s, F.col("w")).otherwise(0.0))
+    counts = inner.unionByName(ends).groupBy("feature", "value").agg(weight("ref").alias("r"), weight("cur").alias("c"))
+    upto = Window.partitionBy("feature").orderBy("value")
+    return counts.select("*", F.sum("r").over(upto).alias("r_running"), F.sum("c").over(upto).alias("c_running"))
+
+
+def sketched_measures(sketches: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
+    """(feature, ref_n, cur_n, psi, ks_stat, ks_p_value, jsd) of one sketch a feature and side."""
+    counts = written(sketched_counts(sketches, points), "sketched")
+    n = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).alias(f"{s}_n")
+    found = sketches.groupBy("feature").agg(n("ref"), n("cur"))
+    for part in (psi_from(counts), ks_from(counts), jsd_from(counts)):
+        found = found.join(part, "feature", "left")
+    return found
+
+
+def feature_drift_report(reference: DataFrame, current: DataFrame, features: Sequence[str], least: int = 30, sketch: int | None = None) -> DataFrame:
     """(feature, psi, ks_stat, ks_p_value, jsd, ref_n, cur_n, status), one row a feature asked for.
 
     Features that a table lacks are MISSING; with fewer than ``least`` values on
-    a side they are INSUFFICIENT_DATA.
+    a side they are INSUFFICIENT_DATA. Values are counted, which shuffles each
+    distinct one; for features whose values hardly repeat give ``sketch``, the size
+    of quantile sketches, which leave measures off by their rank error.
     """
     values = long_form(reference, current, features)
     asked = reference.sparkSession.createDataFrame([(f, f in reference.columns and f in current.columns) for f in features], "feature string, there boolean")
-    joined, counts = asked, value_counts(values)
-    for part in (sizes_from(counts), psi_from(counts), ks_from(counts), jsd_from(counts)):
-        joined = joined.join(part, "feature", "left")
+    if sketch:
+        joined = asked.join(sketched_measures(written(side_sketches(values, sketch), "sketches")), "feature", "left")
+    else:
+        joined, counts = asked, value_counts(values)
+        for part in (sizes_from(counts), psi_from(counts), ks_from(counts), jsd_from(counts)):
+            joined = joined.join(part, "feature", "left")
     joined = joined.fillna(0, ["ref_n", "cur_n"])
     few = (F.col("ref_n") < least) | (F.col("cur_n") < least)
 

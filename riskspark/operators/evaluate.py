@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranges import PART, previous_rows, running_sums
+from ..functions.tails import fair_tail
 
 
 def score_counts(df: DataFrame, scores: Sequence[str], label: str = "is_fraud") -> DataFrame:
@@ -78,18 +79,14 @@ def champion_challenger(df: DataFrame, champion: str = "champion", challenger: s
 
 
 def mcnemar(df: DataFrame, champion: str = "champion", challenger: str = "challenger", label: str = "is_fraud", cut: float = 0.5) -> DataFrame:
-    """One row: b (only the champion is right), c (only the challenger), and the exact two-sided binomial p."""
+    """One row: b (only the champion is right), c (only the challenger), and the exact two-sided binomial p.
+
+    The tail is a continued fraction, so any number of differing rows takes the same memory.
+    """
     right = lambda s: (F.col(s) >= cut) == (F.col(label) == 1)
     row = df.agg(F.count_if(right(champion) & ~right(challenger)).alias("b"), F.count_if(~right(champion) & right(challenger)).alias("c"))
     n, k = F.col("b") + F.col("c"), F.least("b", "c")
-    start = F.struct((-n * F.log(F.lit(2.0))).alias("log"), F.exp(-n * F.log(F.lit(2.0))).alias("sum"))
-
-    def step(acc: Column, i: Column) -> Column:
-        log = acc["log"] + F.log((n - i + 1) / i)
-        return F.struct(log.alias("log"), (acc["sum"] + F.exp(log)).alias("sum"))
-
-    tail = F.aggregate(F.when(k >= 1, F.sequence(F.lit(1), k.cast("int"))).otherwise(F.expr("cast(array() as array<int>)")), start, step, lambda a: a["sum"])
-    return row.select("b", "c", F.when(n == 0, 1.0).otherwise(F.least(F.lit(1.0), 2 * tail)).alias("p_value"))
+    return row.select("b", "c", F.when(2 * k >= n, 1.0).otherwise(F.least(F.lit(1.0), 2 * fair_tail(n, k))).alias("p_value"))
 
 
 def rollback_check(telemetry: DataFrame, fpr_factor: float = 2.0, recall_factor: float = 0.8) -> DataFrame:

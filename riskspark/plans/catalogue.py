@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from ..functions.lineage import written
 from ..operators import aggregates, clean, drift, evaluate, graph, joins, labels, merge, profile, quality, windows
 from ..sources import files
 from ..streaming import events
@@ -219,6 +220,20 @@ def a13_label_sources(spark, sf_dir):
     return aggregates.label_source_counts(_reconciled(spark, sf_dir))
 
 
+@query(
+    f"SELECT merchant_id, count(*) AS rows, count(DISTINCT card_id) AS distinct_card_id, true AS near FROM txn WHERE event_date < DATE '{AS_OF[:10]}' AND event_date >= DATE '{AS_OF[:10]}' - 14 GROUP BY merchant_id",
+    "txn",
+)
+def a14_distinct_as_of(spark, sf_dir):
+    """Cards of each merchant over two weeks from sketches stored a day, and whether they are within 5 % of the exact count."""
+    txn = load(spark, sf_dir, "txn")
+    stored = written(aggregates.distinct_sketches(txn, ["card_id"], "event_date", "merchant_id"), "daily")
+    found = aggregates.distinct_as_of(stored, ["card_id"], as_of(), 14, "merchant_id").withColumnRenamed("distinct_card_id", "sketched")
+    last = as_of().cast("date")
+    exact = txn.filter((F.col("event_date") < last) & (F.col("event_date") >= F.date_sub(last, 14))).groupBy("merchant_id").agg(F.count_distinct("card_id").alias("distinct_card_id"))
+    return found.join(exact, "merchant_id").select("merchant_id", "rows", "distinct_card_id", (F.abs(F.col("sketched") - F.col("distinct_card_id")) <= 0.05 * F.col("distinct_card_id")).alias("near"))
+
+
 @query("SELECT count(DISTINCT card_id) AS distinct_card_id, count(DISTINCT merchant_id) AS distinct_merchant_id, count(DISTINCT device_id) AS distinct_device_id FROM txn", "txn")
 def a14_distinct_counts(spark, sf_dir):
     return aggregates.distinct_counts(load(spark, sf_dir, "txn"), "card_id", "merchant_id", "device_id")
@@ -504,6 +519,12 @@ def t4_customer_velocity_1h(spark, sf_dir):
     return rounded(_naive(windows.customer_velocity_1h(load(spark, sf_dir, "txn"), exact=True)), 4)
 
 
+@query("WITH " + _window_sql("customer_id", "'1 hour'", 300, 12, "count(*) AS customer_1h_count, round(sum(amount), 4) AS customer_1h_sum, round(avg(amount), 4) AS customer_1h_avg, count(DISTINCT merchant_id) AS customer_1h_distinct_merchant_id", "c") + " SELECT * FROM c", "txn")
+def t4_customer_velocity_panes(spark, sf_dir):
+    """The same windows put together from panes; counts of few distinct values are exact from sketches too."""
+    return rounded(_naive(windows.velocity_by_panes(load(spark, sf_dir, "txn"), "customer_id", "1 hour", "5 minutes", "customer_1h_", distinct="merchant_id")), 4)
+
+
 @query("WITH " + _window_sql("customer_id", "'24 hours'", 86400, 1, "count(*) AS customer_24h_count, round(sum(amount), 4) AS customer_24h_sum, count(DISTINCT device_id) AS customer_24h_distinct_device_id", "d") + " SELECT * FROM d", "txn")
 def t5_customer_velocity_24h(spark, sf_dir):
     return rounded(_naive(windows.customer_velocity_24h(load(spark, sf_dir, "txn"), exact=True)), 4)
@@ -805,6 +826,16 @@ def d4_ks(spark, sf_dir):
     return rounded(drift.ks_2samp(_long(spark, sf_dir)))
 
 
+@query(f"WITH {_REPORT} SELECT feature, psi, ks_stat, jsd, ref_n, cur_n, status, true AS near FROM rep", "txn")
+def d5_sketched_report(spark, sf_dir):
+    """The exact report, and whether that of quantile sketches is within their error of it."""
+    exact = drift.feature_drift_report(*_halves(spark, sf_dir), ["amount", "merchant_id"]).alias("e")
+    found = drift.feature_drift_report(*_halves(spark, sf_dir), ["amount", "merchant_id"], sketch=1024).alias("s")
+    off = 3 * drift.rank_error(1024) + 0.002
+    near = (F.abs(F.col("s.ks_stat") - F.col("e.ks_stat")) <= off) & (F.abs(F.col("s.psi") - F.col("e.psi")) <= 0.03) & (F.abs(F.col("s.jsd") - F.col("e.jsd")) <= 0.02)
+    return exact.join(found, "feature").select("feature", *[f"e.{c}" for c in ("psi", "ks_stat", "jsd", "ref_n", "cur_n", "status")], (near & (F.col("s.ref_n") == F.col("e.ref_n")) & (F.col("s.cur_n") == F.col("e.cur_n"))).alias("near"))
+
+
 @query(f"WITH {_REPORT} SELECT * FROM rep UNION ALL SELECT 'absent', 0, 0, 1, 0, 0, 0, 'MISSING'", "txn")
 def d5_drift_report(spark, sf_dir):
     return drift.feature_drift_report(*_halves(spark, sf_dir), ["amount", "merchant_id", "absent"])
