@@ -18,13 +18,15 @@ exact and needs no comparison of all blocks with all templates:
 
 What passes is verified on full sets. Only blocks near an anchor are formed: a
 match lacks at most T - o of a template's words, so it holds one of any T - o + 1,
-of which the longest are the template's anchors.
-
-A line gives the template that it holds best. Windows that overlap compete, the
-best stays, and windows at different places all count, so a line or a text
-without line feeds may give several labels. A line's label is dropped where a
-better match that runs over its end took the place. Only DataFrame functions
-touch rows.
+of which the longest are the template's anchors. Neighbouring anchors share one
+stretch of words, of which each window is formed once, so that a notice repeated
+without end takes time in proportion.
+
+Every template that a block matches is reported. For labels a line gives the
+template that it holds best; windows that overlap compete, the best stays, and
+windows at different places all count, so a line or a text without line feeds may
+give several labels. A line's label is dropped where a better match that runs
+over its end took the place. Only DataFrame functions touch rows.
 """
 
 from __future__ import annotations
@@ -106,30 +108,52 @@ def phrase_places(words: Column) -> Column:
     return F.concat(*[places_of(p, label) for p, label in PHRASES.items()])
 
 
+def vocabulary_of(templates: list[tuple[str, str]]) -> list[str]:
+    return sorted({w for _, text in templates for w in template_words(text)})
+
+
+def stretches_of(words: Column, vocabulary: list[str], anchors: list[str], reach: int) -> Column:
+    """array<array<struct<at, token>>>: template words around anchors, each word in one stretch.
+
+    Anchors with at most ``2 * reach`` template words between them share a stretch.
+    As template words are some of all words, it has every word within ``reach`` of
+    its anchors.
+    """
+    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.cast("int").alias("at"), w.alias("token"))), lambda x: x["token"].isin(vocabulary))
+
+    def cut(hits: Column) -> Column:
+        spots = F.filter(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: F.get(hits, i)["token"].isin(anchors))
+
+        def between(spots: Column) -> Column:
+            first = F.filter(spots, lambda x, i: (i == 0) | (x - F.get(spots, i - 1) > 2 * reach))
+            last = F.filter(spots, lambda x, i: (i == F.size(spots) - 1) | (F.get(spots, i + 1) - x > 2 * reach))
+            return F.zip_with(first, last, lambda x, y: F.slice(hits, F.greatest(x - reach, F.lit(0)) + 1, y - F.greatest(x - reach, F.lit(0)) + reach + 1))
+
+        return bound(spots, between)
+
+    return bound(hits, cut)
+
+
 def blocks_of(documents: DataFrame, id_col: str, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
     """(row, doc_id, n_words, base, blocks) of every document row.
 
     ``base`` has the places of phrases. ``blocks`` has the lines that hold an
-    anchor (start -1) and the words around each anchor (start 0 or more), as
-    array<struct<start, words>>; of a line only words that some template has.
+    anchor and the stretches around anchors, as array<struct<line, hits>>; of
+    both only words that some template has, of a line distinct ones.
     """
-    vocabulary = sorted({w for _, text in templates for w in template_words(text)})
+    vocabulary = vocabulary_of(templates)
     anchors = anchor_words(templates, threshold)
     reach = max((window_words(text, threshold) for _, text in templates), default=1) - 1
     read = text_of(documents, F.col(id_col).cast("long").alias("doc_id"))
     df = read.select("doc_id", lower_ascii(F.col("text")).alias("text")).withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    shape = "array<struct<start:int,words:array<string>>>"
+    shape = "array<struct<line:boolean,hits:array<struct<at:int,token:string>>>>"
 
     def line_block(line: Column) -> Column:
-        own = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
-        return F.struct(F.lit(-1).alias("start"), F.array_distinct(F.filter(own, lambda w: w.isin(vocabulary))).alias("words"))
+        own = F.array_distinct(F.filter(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda w: w.isin(vocabulary)))
+        return F.struct(F.lit(True).alias("line"), F.transform(own, lambda w: F.struct(F.lit(0).alias("at"), w.alias("token"))).alias("hits"))
 
-    def around(i: Column) -> Column:
-        first = F.greatest(i - reach, F.lit(0))
-        return F.struct(first.alias("start"), F.slice("words", first + 1, i - first + reach + 1).alias("words"))
-
-    lines = F.filter(F.transform(F.split("text", "\n", -1), line_block), lambda x: F.exists(x["words"], lambda w: w.isin(anchors)))
-    near = F.transform(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(anchors)), around)
+    lines = F.filter(F.transform(F.split("text", "\n", -1), line_block), lambda x: F.exists(x["hits"], lambda h: h["token"].isin(anchors)))
+    near = F.transform(stretches_of(F.col("words"), vocabulary, anchors, reach), lambda h: F.struct(F.lit(False).alias("line"), h.alias("hits")))
     some = F.exists("words", lambda w: w.isin(anchors))
     blocks = F.when(some, F.concat(lines, near)).otherwise(F.expr(f"cast(array() as {shape})"))
     phrased = reduce(lambda x, y: x | y, [reduce(lambda x, y: x & y, [F.col("text").contains(w) for w in p.split()]) for p in PHRASES])
@@ -150,42 +174,72 @@ def prefix_index(templates: list[tuple[str, str]], frequency: DataFrame, thresho
     return placed.filter(F.col("place") <= F.col("size") - F.col("needed") + 1).join(whole, "template").select("token", "place", "template", "label", "size", "needed", "width", "tokens")
 
 
-SPANS = "array<struct<share:double,size:int,label:string,tight:int,start:int,end:int>>"
+SPAN = "struct<start:int,end:int,share:double,size:int,label:string,tight:int>"
+
+
+def windows_of(hits: Column, tokens: Column, needed: Column, size: Column, width: Column, label: Column) -> Column:
+    """All windows of a stretch that match the template, one a start: from the first to the last word that counts.
+
+    A window has at most ``width`` template words, so the work is linear in the stretch.
+    """
+
+    def all_of(own: Column) -> Column:
+        def matched(i: Column) -> Column:
+            first = F.get(own, i)["at"]
 
+            def judged(inside: Column) -> Column:
+                found = F.transform(inside, lambda h: h["token"])
 
-def windows_of(words: Column, start: Column, tokens: Column, needed: Column, size: Column, width: Column, label: Column) -> Column:
-    """All windows of ``words`` that match the template, from their first to their last word that counts."""
+                def shaped(distinct: Column) -> Column:
+                    last = F.get(inside, (F.array_position(found, F.element_at(distinct, -1)) - 1).cast("int"))["at"] + 1
+                    span = F.struct(first.alias("start"), last.alias("end"), (F.size(distinct) / size).alias("share"), size.alias("size"), label.alias("label"), (first - last).alias("tight"))
+                    return F.when(F.size(distinct) >= needed, span)
 
-    def shared(i: Column, n: Column) -> Column:
-        return F.size(F.array_intersect(tokens, F.slice(words, i + 1, n)))
+                return bound(F.array_distinct(found), shaped)
 
-    def matched(i: Column) -> Column:
-        def shaped(count: Column) -> Column:
-            last = F.array_min(F.filter(F.sequence(F.lit(1), width), lambda n: shared(i, n) >= count))
-            span = F.struct((count / size).alias("share"), size.alias("size"), label.alias("label"), (-last).alias("tight"), (start + i).alias("start"), (start + i + last).alias("end"))
-            return F.when(count >= needed, span)
+            return bound(F.filter(F.slice(own, i + 1, width), lambda h: h["at"] < first + width), judged)
 
-        return bound(shared(i, width), shaped)
+        return F.array_compact(F.transform(F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: i < F.size(own)), matched))
 
-    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(tokens, F.get(words, i)))
-    return F.array_compact(F.transform(starts, matched))
+    own = F.filter(hits, lambda h: F.array_contains(tokens, h["token"]))
+    return F.when(F.size(own) >= needed, bound(own, all_of)).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
 
 
 def best_places(found: Column) -> Column:
-    """Of matches that overlap, the best; the tighter of equals."""
+    """struct<labels, share>: the labels of matches that stay where matches overlap, and their greatest share.
+
+    One sweep in order of start: of a match and the one kept before it that it
+    overlaps, the better stays, the tighter of equals; what it displaces doesn't
+    come back. The state is one match and the labels, however many matches.
+    """
+    rank = lambda x: F.struct(x["share"], x["size"], x["label"], x["tight"])
+    start = F.struct(F.expr(f"cast(null as {SPAN})").alias("at"), F.expr("cast(array() as array<string>)").alias("labels"), F.lit(0.0).alias("share"))
+
+    def settled(acc: Column) -> Column:
+        return F.array_union(acc["labels"], F.array(acc["at"]["label"]))
 
     def step(acc: Column, x: Column) -> Column:
-        return F.when(F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"])), acc).otherwise(F.concat(acc, F.array(x)))
+        over = acc["at"].isNotNull() & (x["start"] < acc["at"]["end"])
+        moved = F.struct(x.alias("at"), F.when(acc["at"].isNull() | over, acc["labels"]).otherwise(settled(acc)).alias("labels"), F.when(acc["at"].isNull() | over, acc["share"]).otherwise(F.greatest(acc["share"], acc["at"]["share"])).alias("share"))
+        return F.when(over & (rank(acc["at"]) >= rank(x)), acc).otherwise(moved)
 
-    return F.aggregate(F.reverse(F.array_sort(F.array_distinct(found))), F.expr(f"cast(array() as {SPANS})"), step)
+    def ended(acc: Column) -> Column:
+        none = acc["at"].isNull()
+        return F.struct(F.when(none, acc["labels"]).otherwise(settled(acc)).alias("labels"), F.when(none, acc["share"]).otherwise(F.greatest(acc["share"], acc["at"]["share"])).alias("share"))
 
+    return F.aggregate(F.sort_array(found), start, step, ended)
 
-def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
-    """(row, own, spans) of rows with a match: the best template of each line, and all matching windows.
 
-    ``blocks`` has (row, block, start, words, tokens), the tokens distinct and in
-    global order. A candidate is kept at the first prefix token that it shares, so
-    each pair of block and template is verified once.
+def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
+    """(row, own, best, windows, matches) of rows with a match.
+
+    ``own`` has the best template of each line, ``best`` what ``best_places`` leaves
+    of all matching windows, ``windows`` the greatest share of each label in them,
+    and ``matches`` every template that some block matches, as
+    (template, label, share, blocks): its greatest share and the lines and
+    windows that match it. ``blocks`` has (row, block, line, hits, tokens), the tokens
+    distinct and in global order. A candidate is kept at the first prefix token that
+    it shares, so each pair of block and template is verified once.
     """
     keep = [c for c in index.columns if c != "tokens"]
     paired = blocks.withColumn("token", F.explode("tokens")).join(index.select(*keep, F.col("tokens").alias("template_tokens")), "token")
@@ -193,22 +247,30 @@ def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
     rest = F.least(F.col("size") - F.col("place"), F.size("tokens") - F.array_position("tokens", F.col("token")))
     near = paired.filter((F.size("tokens") >= F.col("needed")) & (1 + rest >= F.col("needed"))).withColumn("both", both)
     verified = near.filter((F.get("both", F.lit(0)) == F.col("token")) & (F.size("both") >= F.col("needed")))
-    whole = F.struct((F.size("both") / F.col("size")).alias("share"), "size", "label")
-    lines = verified.filter("start < 0").groupBy("row", "block").agg(F.max(whole).alias("own")).groupBy("row").agg(F.collect_list("own").alias("own"))
-    spans = windows_of(F.col("words"), F.col("start"), F.col("template_tokens"), F.col("needed"), F.col("size"), F.col("width"), F.col("label"))
-    windows = verified.filter("start >= 0").select("row", F.explode(spans).alias("span")).groupBy("row").agg(F.collect_set("span").alias("spans"))
-    return lines.join(windows, "row", "full_outer")
+    spans = windows_of(F.col("hits"), F.col("template_tokens"), F.col("needed"), F.col("size"), F.col("width"), F.col("label"))
+    share = F.size("both") / F.col("size")
+    judged = verified.select("row", "block", "line", "template", "label", "size", share.alias("share"), F.when(~F.col("line"), spans).alias("spans"))
+    judged = judged.withColumn("top", F.when(F.col("line"), F.col("share")).otherwise(F.array_max(F.transform("spans", lambda x: x["share"])))).filter("top is not null")
+    own = F.max(F.when(F.col("line"), F.struct("share", "size", "label"))).alias("own")
+    by_block = judged.groupBy("row", "block").agg(own, F.flatten(F.collect_list("spans")).alias("spans"))
+    by_row = by_block.groupBy("row").agg(F.collect_set("own").alias("own"), F.flatten(F.collect_list("spans")).alias("spans"))
+    counted = judged.groupBy("row", "template", "label").agg(F.max("top").alias("share"), F.max(F.when(~F.col("line"), F.col("top"))).alias("window"), F.sum(F.when(F.col("line"), 1).otherwise(F.size("spans"))).alias("blocks"))
+    windows = F.collect_list(F.when(F.col("window").isNotNull(), F.struct("label", F.col("window").alias("share")))).alias("windows")
+    matches = counted.groupBy("row").agg(windows, F.array_sort(F.collect_list(F.struct("template", "label", "share", "blocks"))).alias("matches"))
+    return by_row.join(matches, "row").select("row", "own", best_places(F.col("spans")).alias("best"), "windows", "matches")
 
 
 def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD, templates: DataFrame | None = None) -> DataFrame:
-    """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
+    """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
     ``templates`` has (label, text) and is a parameter of the driver's size;
-    without it ``TEMPLATES`` counts. ``score`` is the greatest containment of a
-    template in one of the document's blocks, 1 where a base phrase stands, and 0
-    where there is neither. Null and empty texts have no words and no labels;
-    repeated rows are scanned each; an empty table gives no rows. Templates without
-    words match nothing. Only the id and the text are read.
+    without it ``TEMPLATES`` counts. ``matches`` has every template that a block of
+    the document reaches the threshold of, as ``<number>:<label>``, sorted by number;
+    ``labels`` the best of each place. ``score`` is the greatest containment of a
+    template that gives a label, 1 where a base phrase stands, and 0 where there is
+    neither. Null and empty texts have no words and no labels; repeated rows are
+    scanned each; an empty table gives no rows. Templates without words match
+    nothing. Only the id and the text are read.
 
     One pass over the texts writes the blocks near anchors; the token frequencies
     over all blocks, the join and the result read that. Documents without such
@@ -217,27 +279,27 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float
     given = list(TEMPLATES) if templates is None else [(r["label"], r["text"]) for r in templates.filter("label is not null and text is not null").select("label", "text").collect()]
     given = [(label, text) for label, text in given if template_words(text)]
     found = written(blocks_of(documents, id_col, given, threshold), "blocks")
-    vocabulary = sorted({w for _, text in given for w in template_words(text)})
     some = found.filter(F.size("blocks") > 0)
-    exploded = some.select("row", F.posexplode("blocks").alias("block", "x")).select("row", "block", "x.start", "x.words")
-    exploded = exploded.withColumn("held", F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary))))
+    exploded = some.select("row", F.posexplode("blocks").alias("block", "x")).select("row", "block", "x.line", "x.hits")
+    exploded = exploded.withColumn("held", F.array_distinct(F.transform("hits", lambda h: h["token"])))
     frequency = written(exploded.select(F.explode("held").alias("token")).groupBy("token").agg(F.count("*").alias("n")), "frequency")
     index = written(prefix_index(given, frequency, threshold), "index")
     index = F.broadcast(index) if index.count() <= MOST_BROADCAST else index
     # The templates' tokens in global order, as one array; a block's are the ones of it that it holds.
     order = frequency.agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("order"))
     blocks = exploded.crossJoin(F.broadcast(order)).withColumn("tokens", F.array_intersect("order", "held"))
-    matches = matching_blocks(blocks.select("row", "block", "start", "words", "tokens"), index)
+    matches = matching_blocks(blocks.select("row", "block", "line", "hits", "tokens"), index)
 
     own_type = "array<struct<share:double,size:int,label:string>>"
     df = some.select("row", "doc_id", "n_words", "base").join(matches, "row", "left")
-    df = df.withColumn("own", F.coalesce("own", F.expr(f"cast(array() as {own_type})"))).withColumn("spans", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")))
-    df = df.withColumn("best", best_places(F.col("spans")))
+    best = F.coalesce("best.labels", F.expr("cast(array() as array<string>)"))
     # A line's label whose every place went to better matches.
-    lost = lambda x: F.exists("spans", lambda y: (y["label"] == x["label"]) & (y["share"] >= x["share"])) & ~F.exists("best", lambda y: y["label"] == x["label"])
-    shaped = F.transform("best", lambda x: F.struct(x["share"].alias("share"), x["size"].alias("size"), x["label"].alias("label")))
-    with_blocks = df.select("doc_id", "n_words", "base", F.concat(F.filter("own", lambda x: ~lost(x)), shaped).alias("own"))
-    without = found.filter(F.size("blocks") == 0).select("doc_id", "n_words", "base", F.expr(f"cast(array() as {own_type})").alias("own"))
+    lost = lambda x: F.exists("windows", lambda y: (y["label"] == x["label"]) & (y["share"] >= x["share"])) & ~F.array_contains(best, x["label"])
+    own = F.filter(F.coalesce("own", F.expr(f"cast(array() as {own_type})")), lambda x: ~lost(x))
+    share = F.greatest(F.coalesce(F.array_max(F.transform("own", lambda x: x["share"])), F.lit(0.0)), F.coalesce("best.share", F.lit(0.0)))
+    named = F.coalesce(F.array_join(F.transform("matches", lambda x: F.concat_ws(":", x["template"].cast("string"), x["label"])), ","), F.lit(""))
+    with_blocks = df.withColumn("own", own).select("doc_id", "n_words", "base", F.concat(F.transform("own", lambda x: x["label"]), best).alias("more"), share.alias("share"), named.alias("matches"))
+    without = found.filter(F.size("blocks") == 0).select("doc_id", "n_words", "base", F.expr("cast(array() as array<string>)").alias("more"), F.lit(0.0).alias("share"), F.lit("").alias("matches"))
     labels = F.transform("base", lambda x: x["label"])
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     return with_blocks.unionByName(without).select(
@@ -247,6 +309,7 @@ def scan_licenses(documents: DataFrame, id_col: str = "doc_id", threshold: float
         F.array_min(F.transform("base", lambda x: x["at"])).alias("first_word"),
         F.array_max(F.transform("base", lambda x: x["at"])).alias("last_word"),
         joined(labels).alias("base_labels"),
-        joined(F.concat(labels, F.transform("own", lambda x: x["label"]))).alias("labels"),
-        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("own", lambda x: x["share"])), F.lit(0.0))).alias("score"),
+        joined(F.concat(labels, "more")).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.col("share")).alias("score"),
+        "matches",
     )
