@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lineage import shared_dir, written
 
-__all__ = ["bound", "lean", "lower_ascii", "places", "running_sums", "shared_dir", "table", "text_of", "written"]
+__all__ = ["bound", "lean", "lower_ascii", "places", "replaced", "running_sums", "shared_dir", "table", "text_of", "written"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -60,23 +60,67 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def running_sums(numbers: Column) -> Column:
-    """For each element of an array<int> the sum of those before it.
+    """For each element of an array<int> the sum of those before it."""
+    return _running(numbers, lambda a, b: a + b)
 
-    Sums run within chunks of about the square root of the length and then over
+
+def running_greatest(numbers: Column) -> Column:
+    """For each element of an array<int>, none negative, the greatest of those before it, 0 for the first."""
+    return _running(numbers, F.greatest)
+
+
+def _running(numbers: Column, both: Callable[[Column, Column], Column]) -> Column:
+    """For each element what ``both`` makes of 0 and those before it.
+
+    It runs within chunks of about the square root of the length and then over
     the chunks, so that no long array is copied for every element.
     """
 
     def scan(xs: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
-        return F.aggregate(xs, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+        return F.aggregate(xs, start, lambda acc, x: F.struct(both(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
 
-    def summed(xs: Column) -> Column:
+    def run(xs: Column) -> Column:
         width = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(xs)))).cast("int")
         chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")), lambda i: scan(F.slice(xs, i * width + 1, width)))
-        placed = bound(chunks, lambda own: F.zip_with(own, scan(F.transform(own, lambda c: c["at"]))["out"], lambda c, base: F.transform(c["out"], lambda x: x + base)))
+        placed = bound(chunks, lambda own: F.zip_with(own, scan(F.transform(own, lambda c: c["at"]))["out"], lambda c, base: F.transform(c["out"], lambda x: both(x, base))))
         return F.when(F.size(xs) > 0, F.flatten(placed)).otherwise(F.expr("cast(array() as array<int>)"))
 
-    return bound(numbers, summed)
+    return bound(numbers, run)
+
+
+def replaced(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with each span (start, end) replaced by ``mark``; spans that overlap count as one, from the first start to the last end.
+
+    Spans come in order of start. The text is cut into chunks once, and what stands
+    between spans is taken from its chunks, so that no span goes through the text
+    from its start; the pieces are joined once.
+    """
+
+    def in_chunks(own: Column) -> Column:
+        return bound(F.greatest(F.lit(256), F.ceil(F.sqrt(F.char_length(own)))).cast("int"), lambda width: of_width(own, width))
+
+    def of_width(own: Column, width: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor(F.char_length(own) / width).cast("int")), lambda i: F.substring(own, i * width + 1, width))
+
+        def piece(cut: Column, a: Column, b: Column) -> Column:
+            first, last = F.floor(a / width).cast("int"), F.floor(b / width).cast("int")
+            head, tail = F.get(cut, first), F.coalesce(F.get(cut, last), F.lit(""))
+            middle = F.array_join(F.slice(cut, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            return F.when(first == last, F.substring(head, a % width + 1, b - a)).otherwise(F.concat(F.substring(head, a % width + 1, width), middle, F.substring(tail, F.lit(1), b % width)))
+
+        def joined(cut: Column) -> Column:
+            # Ends of the spans before each, the greatest so far: by chunks of spans, as in running_sums.
+            return bound(running_greatest(F.transform(spans, lambda x: x["end"].cast("int"))), lambda until: pieces(cut, until))
+
+        def pieces(cut: Column, until: Column) -> Column:
+            each = F.transform(spans, lambda x, i: F.when(x["start"] >= F.get(until, i), F.concat(piece(cut, F.get(until, i), x["start"].cast("int")), F.lit(mark))).otherwise(F.lit("")))
+            last = F.greatest(F.get(until, F.size(spans) - 1), F.element_at(spans, -1)["end"].cast("int"))
+            return F.concat(F.array_join(each, ""), piece(cut, last, F.char_length(own)))
+
+        return bound(chunks, joined)
+
+    return F.when(F.size(spans) > 0, bound(text, in_chunks)).otherwise(text)
 
 
 def places(text: Column, pattern: str) -> Column:

@@ -27,7 +27,7 @@ from itertools import pairwise
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound, places, text_of, written
+from .common import bound, places, replaced, running_greatest, text_of, written
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -67,6 +67,29 @@ def _judged(x: Column) -> Column:
     return (s.rlike("[0-9]") | mixed) & ~s.rlike(IDENTIFIER)
 
 
+def clear_of(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span, in order of start.
+
+    Both stand in one array by start; the greatest end of base spans before a run
+    and the least start of those behind it decide, so no run is held against all
+    base spans.
+    """
+    side = lambda xs, n: F.transform(xs, lambda x: F.struct(x["start"].alias("start"), F.lit(n).alias("side"), x["end"].alias("end"), x.alias("x")))
+    far = 1 << 30
+
+    def judged(both: Column, until: Column, behind: Column) -> Column:
+        free = lambda x, i: (x["side"] == 1) & (F.get(until, i) <= x["start"]) & (far - F.get(behind, F.size(both) - 1 - i) >= x["end"])
+        return F.array_compact(F.transform(both, lambda x, i: F.when(free(x, i), x["x"])))
+
+    def swept(both: Column) -> Column:
+        ends = running_greatest(F.transform(both, lambda x: F.when(x["side"] == 0, x["end"]).otherwise(0)))
+        starts = running_greatest(F.transform(F.reverse(both), lambda x: F.when(x["side"] == 0, far - x["start"]).otherwise(0)))
+        return bound(ends, lambda until: bound(starts, lambda behind: judged(both, until, behind)))
+
+    some = (F.size(base) > 0) & (F.size(runs) > 0)
+    return F.when(some, bound(F.sort_array(F.concat(side(base, 0), side(runs, 1))), swept)).otherwise(runs)
+
+
 def with_spans(texts: DataFrame, *keep: str) -> DataFrame:
     """``keep``, base and runs: the base spans, and the candidate runs that overlap none of them."""
     text = F.col("text")
@@ -77,8 +100,7 @@ def with_spans(texts: DataFrame, *keep: str) -> DataFrame:
     )
     runs = _spans(text, "markov", CANDIDATE, _judged)
     df = texts.select(*keep, F.array_sort(base).alias("base"), runs.alias("runs"))
-    clear = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return df.select(*keep, "base", clear.alias("runs"))
+    return df.select(*keep, "base", clear_of(F.col("base"), F.col("runs")).alias("runs"))
 
 
 def labelled_samples(n: int = 2000, seed: int = 17) -> tuple[list[str], list[str]]:
@@ -191,12 +213,5 @@ def redact(documents: DataFrame, id_col: str = "doc_id", mark: str = "[SECRET]",
     ratios = train_ratios(rows.select("base"), documents, id_col, train_rows)
     spans = rows.select("row", F.coalesce(F.col("row.text"), F.lit("")).alias("text"), _found(ratios, threshold).alias("found"))
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["start"] >= acc["at"]
-        before = F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), F.when(fresh, F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("found", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
-    text = F.when(F.size("found") > 0, clean).otherwise(F.col("row.text"))
+    text = F.when(F.size("found") > 0, replaced(F.col("text"), F.col("found"), mark)).otherwise(F.col("row.text"))
     return spans.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
