@@ -251,7 +251,7 @@ def _compared(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """
     parts = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     dealt = rows.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("id", "mark", F.lit(7)), F.col("parts")).cast("int"))
-    dealt = dealt.join(full, ["id", "mark"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.join(full.drop("n"), ["id", "mark"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "c", "values")
 
     def compared(group: pa.Table) -> pa.Table:
@@ -266,7 +266,7 @@ def _compared(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(documents: DataFrame, id_col: str, size: int, ids: DataFrame) -> DataFrame:
-    """(id, mark, values) of the documents in ``ids``, and of few others; one row of each text.
+    """(id, mark, n, values) of the documents in ``ids``, and of few others; one row of each text, with its ``n`` shingles.
 
     A bitmap of hashed ids, of ``FILTER_BITS`` bits whatever the table, is built
     by Spark and shipped; texts are filtered and turned into sets where they are
@@ -286,17 +286,35 @@ def _full_sets(documents: DataFrame, id_col: str, size: int, ids: DataFrame) ->
             texts = some.column("text").to_pylist()
             for a, b in blocks(texts, BLOCK_CHARS):
                 sets = shingle_sets(texts[a:b], size)
-                columns = [some.column("id").slice(a, b - a), pa.array([_mark(_digest(x)) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "values"])
+                columns = [some.column("id").slice(a, b - a), pa.array([_mark(_digest(x)) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "values"])
 
     texts = text_of(documents, F.col(id_col).cast("long").alias("id")).filter("id is not null")
-    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(lean(valued), "id long, mark long, values binary"), "full-sets")
+    return written(texts.select("id", spot.alias("spot"), "text").mapInArrow(lean(valued), "id long, mark long, n long, values binary"), "full-sets")
+
+
+def _salted(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """``pairs`` with ``salt``, which deals those of one leader into parts of about ``BLOCK`` texts or ``BLOCK_SHINGLES`` shingles."""
+    sizes = full.select(F.col("id").alias("b"), F.col("mark").alias("mb"), "n")
+    keyed = pairs.withColumn("key", F.concat_ws(":", "a", "ma"))
+    led = keyed.join(sizes, ["b", "mb"]).groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
+    parts = F.ceil(F.greatest(F.col("k") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    large = written(led.select("key", "k", parts.alias("parts")).filter("parts > 1"), "leaders")
+    dealt = keyed if large.isEmpty() else join_hot(keyed, large, "key", "k", pairs.count(), "left")
+    parts = F.coalesce("parts", F.lit(1)) if "parts" in dealt.columns else F.lit(1)
+    return dealt.select("a", "ma", "b", "mb", F.pmod(F.xxhash64("b", "mb"), parts).cast("int").alias("salt"))
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """(src, dst) of the pairs (a, ma, b, mb) whose full sets reach the threshold."""
-    one, two = (full.select(F.col("id").alias(x), F.col("mark").alias(f"m{x}"), F.col("values").alias(f"v{x}")) for x in "ab")
-    joined = pairs.join(one, ["a", "ma"]).join(two, ["b", "mb"])
+    """(src, dst) of the pairs (a, ma, b, mb) whose full sets reach the threshold.
+
+    A leader's set goes to each part of its pairs, so a leader of many texts is
+    spread over tasks and no set is shuffled with every pair.
+    """
+    salted = written(_salted(pairs, full), "salted")
+    one = salted.select("a", "ma", "salt").distinct().join(full.select(F.col("id").alias("a"), F.col("mark").alias("ma"), F.col("values").alias("va")), ["a", "ma"])
+    two = full.select(F.col("id").alias("b"), F.col("mark").alias("mb"), F.col("values").alias("vb"))
+    joined = salted.join(two, ["b", "mb"]).join(one, ["a", "ma", "salt"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,8 +362,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4,
 
     # The texts of an id that stands more than once are one vertex.
     groups = sets.select("digest", "copies", "id")
-    several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id")
-    several = known.select("doc_id", "digest").join(several, "doc_id").distinct().join(groups, "digest").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.count("*").alias("rows")).filter("low <> high").select("doc_id", "rows")
+    several = join_hot(known.select("doc_id", "digest"), written(several, "repeated"), "doc_id", "rows", sketches.count()).distinct().join(groups, "digest").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
 
     # Rows of shared nodes: what follows has no more of them, so that their tables are few files where there are few.
     most = nodes.count()
