@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import written
 from ..functions.ranges import exact_quantiles
 from ..functions.scalars import haversine_km
+from ..functions.skew import join_hot
 
 IMPOSSIBLE_KMH = 900.0
 LEAST_HOURS = 0.001
@@ -78,6 +81,42 @@ def case_queue(cases: DataFrame, status: str, action: str | None = None, n: int
     return found.orderBy(F.desc(ts), F.desc(tie)).limit(n)
 
 
+#: Leading bits of a hash by which a sample's rows are counted.
+SAMPLE_BITS = 16
+
+
+def exact_sample(df: DataFrame, key: str, strata: Sequence[str] = (), n: int | None = None, share: float | None = None, seed: int = 0) -> DataFrame:
+    """A sample of exactly ``n`` rows, or the rounded ``share`` of the rows, of each stratum; all where there are fewer.
+
+    The rows with the smallest md5 of ``<seed>:<key>`` are taken, so that the sample is
+    the same under any partitioning, and a smaller one is part of a larger. A null
+    key counts as an empty one; rows of equal key come in the order of their columns.
+
+    Rows are counted by the hash's leading bits; from the counts follows up to where
+    a stratum is taken whole, and only rows at that edge are put in order. So no
+    stratum is sorted or gathered.
+    """
+    if (n is None) == (share is None):
+        raise ValueError("give n or share")
+    names = list(strata)
+    shift = 16 - SAMPLE_BITS
+    hashed = df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))))
+    spot = F.shiftright(F.conv(F.substring("__h", 1, 4), 16, 10).cast("int"), shift)
+    hashed = hashed.withColumn("__b", spot).withColumn("__s", F.coalesce(F.to_json(F.struct(*names)), F.lit("")) if names else F.lit(""))
+    counts = hashed.groupBy("__s", "__b").agg(F.count("*").alias("__n"))
+    upto = Window.partitionBy("__s").orderBy("__b")
+    summed = counts.withColumns({"__end": F.sum("__n").over(upto), "__all": F.sum("__n").over(Window.partitionBy("__s"))})
+    wanted = F.lit(n).cast("long") if n is not None else F.round(F.col("__all") * share).cast("long")
+    # Each stratum's bucket in which the sample ends, and how many of its rows belong to it.
+    edge = summed.withColumn("__k", F.least(wanted, F.col("__all"))).filter("__end >= __k and __end - __n < __k")
+    edge = written(edge.select("__s", F.col("__b").alias("__edge"), (F.col("__k") - F.col("__end") + F.col("__n")).alias("__take"), F.col("__all").alias("__rows")), "edges")
+    joined = join_hot(hashed, edge, "__s", "__rows", edge.agg(F.sum("__rows")).first()[0] or 0)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    whole = joined.filter("__b < __edge").select(*columns)
+    order = Window.partitionBy("__s").orderBy("__h", *columns)
+    return whole.unionByName(joined.filter("__b = __edge").withColumn("__r", F.row_number().over(order)).filter("__r <= __take").select(*columns))
+
+
 def velocity(
     df: DataFrame, key: str, length: str, slide: str | None = None, prefix: str = "", ts: str = "event_time_ts", amount: str = "amount",
     measures: tuple[str, ...] = ("count", "sum"), distinct: str | None = None, watermark: str | None = "10 minutes", exact: bool = False,

@@ -610,6 +610,17 @@ def w6_latest_row(spark, sf_dir):
     return windows.latest_row(load(spark, sf_dir, "txn"), "event_time_ts", "transaction_id").select("transaction_id", "event_time_ts")
 
 
+@query("SELECT transaction_id, channel FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY md5('7:' || transaction_id)) AS r, count(*) OVER (PARTITION BY channel) AS n FROM txn) WHERE r <= round(0.05 * n)", "txn")
+def w8_stratified_sample(spark, sf_dir):
+    """A twentieth of the rows of each channel, by hash, of exact size."""
+    return windows.exact_sample(load(spark, sf_dir, "txn"), "transaction_id", ["channel"], share=0.05, seed=7).select("transaction_id", "channel")
+
+
+@query("SELECT transaction_id FROM txn ORDER BY md5('3:' || transaction_id) LIMIT 1000", "txn")
+def w8_sample_of_size(spark, sf_dir):
+    return windows.exact_sample(load(spark, sf_dir, "txn"), "transaction_id", n=1000, seed=3).select("transaction_id")
+
+
 @query("SELECT merchant_id, count(*) AS rows, round(avg(is_fraud), 6) AS fraud_rate, round(count(*) / (SELECT count(*) FROM txn), 6) AS share FROM txn GROUP BY merchant_id ORDER BY rows DESC, merchant_id LIMIT 10", "txn")
 def w7_top_levels(spark, sf_dir):
     return rounded(windows.top_levels(load(spark, sf_dir, "txn"), "merchant_id", 10))

@@ -14,7 +14,7 @@ from ..functions.lineage import shared_dir, written
 from ..functions.store import Store
 from ..operators import clean, drift, keyed, labels, merge, model
 from ..sources import files
-from ..streaming import events
+from ..streaming import events, progress
 from .catalogue import _BODY, _EDGES, _REPORT, ORACLES, _halves, _messages, _reconciled, as_of, query, rounded
 from .fixtures import load
 
@@ -216,6 +216,39 @@ def r8_edge_stream(spark, sf_dir):
     return keyed.read_keyed(spark, edges)
 
 
+@query(
+    """WITH b AS (SELECT event_time_ts, transaction_id % 3 AS batch FROM txn), m AS (SELECT batch, date_trunc('milliseconds', max(event_time_ts)) AS t FROM b GROUP BY batch), n AS (SELECT b1.batch, max(m.t) - INTERVAL 10 MINUTE AS mark FROM m AS b1 LEFT JOIN m ON m.batch < b1.batch GROUP BY b1.batch)
+    SELECT (SELECT count(*) FROM txn) AS input_rows, count_if(event_time_ts <= mark) AS dropped_rows, (SELECT max(t) - INTERVAL 10 MINUTE FROM m) AS watermark FROM b JOIN n USING (batch)""",
+    "txn",
+)
+def t1_watermark_drops(spark, sf_dir):
+    """A stream without repeated rows over all rows in three batches, and what its recorded progress says was dropped."""
+    raw, table, checkpoint, reports = (_folder(spark, x) for x in ("rows", "seen", "checkpoint", "progress"))
+    rows, name, listener = load(spark, sf_dir, "txn").select("transaction_id", "event_time_ts"), f"drops_{uuid.uuid4().hex}", progress.ProgressTable(spark, reports)
+    spark.streams.addListener(listener)
+    try:
+        for i in range(3):
+            rows.filter(F.col("transaction_id") % 3 == i).write.mode("append").parquet(raw)
+            stream = events.deduplicated(events.read_table_stream(spark, raw, rows.schema))
+            stream.writeStream.format("parquet").queryName(name).option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        progress.reported(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    found = progress.watermark_drops(progress.read_progress(spark, reports), F.current_timestamp() + F.expr("INTERVAL 1 MINUTE"))
+    return found.filter(F.col("name") == name).select("input_rows", "dropped_rows", F.col("watermark").cast("timestamp_ntz").alias("watermark"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def s14_database_ranges(spark, sf_dir):
+    """Orders in a database, a tenth spread over a hundred times the range of the rest, read by ranges of about equal size."""
+    folder = _folder(spark, "database").removeprefix("file://")
+    url, options = f"jdbc:derby:{folder};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spread = F.when(F.col("o_orderkey") % 10 == 0, 100 * F.col("o_orderkey")).otherwise(F.col("o_orderkey")).cast("long")
+    rows = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", spread.alias("spread"))
+    rows.coalesce(1).write.format("jdbc").option("url", url).option("dbtable", "orders").options(**options).save()
+    return files.read_jdbc_dealt(spark, url, 'SELECT * FROM orders', '"spread"', 4, **options).select("o_orderkey", "o_custkey")
+
+
 @query("SELECT transaction_id, card_id FROM txn", "txn")
 def t9_deduplicated(spark, sf_dir):
     rows = load(spark, sf_dir, "txn").select("transaction_id", "card_id", "event_time_ts")
