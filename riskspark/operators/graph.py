@@ -74,13 +74,17 @@ def degrees(edges: DataFrame) -> DataFrame:
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, rounds: int = 5) -> DataFrame:
     """(id, rank) after a fixed number of rounds, rescaled to sum to the number of vertices."""
     out = edges.groupBy("src").agg(F.count("*").alias("out"))
-    moves = written(edges.join(out, "src").select("src", "dst", "out"), "moves")
+    total = edges.count()
+    out = written(out.withColumn("rows", F.col("out")), "out")
+    moves = written(join_hot(edges, out, "src", "rows", total).select("src", "dst", "out"), "moves")
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for _ in range(rounds):
-        given = moves.join(ranks, moves.src == ranks.id).groupBy("dst").agg(F.sum(F.col("rank") / F.col("out")).alias("given"))
+        # A hub's edges stay where they are: its rank goes to them.
+        held = ranks.join(out.select(F.col("src").alias("id"), "rows"), "id").withColumnRenamed("id", "src")
+        given = join_hot(moves, held, "src", "rows", total).groupBy("dst").agg(F.sum(F.col("rank") / F.col("out")).alias("given"))
         ranks = written(vertices.select("id").join(given, F.col("id") == F.col("dst"), "left").select("id", (reset + (1 - reset) * F.coalesce("given", F.lit(0.0))).alias("rank")), "ranks")
-    total = ranks.agg(F.sum("rank").alias("total"), F.count("*").alias("n"))
-    return ranks.crossJoin(F.broadcast(total)).select("id", (F.col("rank") * F.col("n") / F.col("total")).alias("rank"))
+    sums = ranks.agg(F.sum("rank").alias("total"), F.count("*").alias("n"))
+    return ranks.crossJoin(F.broadcast(sums)).select("id", (F.col("rank") * F.col("n") / F.col("total")).alias("rank"))
 
 
 def entity_metrics(vertices: DataFrame, edges: DataFrame, snapshot_date, rounds: int = 5) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..functions.lineage import shared_dir, written
 from ..functions.store import Store
-from ..operators import clean, drift, keyed, labels, merge, model
+from ..operators import calibration, clean, drift, keyed, labels, merge, model
 from ..sources import files
 from ..streaming import events, progress
 from .catalogue import _BODY, _EDGES, _REPORT, ORACLES, _halves, _messages, _reconciled, as_of, query, rounded
@@ -354,3 +354,29 @@ def d23_calibrated(spark, sf_dir):
 @query("SELECT transaction_id, round(1 / (1 + exp(-(3.0 * champion + 1.5 * challenger - 2.0))), 6) AS fraud_probability, 'v3' AS model_version FROM scores", "scores")
 def d24_stacked(spark, sf_dir):
     return rounded(model.stack_scores(load(spark, sf_dir, "scores"), SimpleNamespace(coefficients=[3.0, 1.5], intercept=-2.0), ["champion", "challenger"], "v3").select("transaction_id", "fraud_probability", "model_version"))
+
+
+@query(
+    """WITH c AS (SELECT champion AS s, count_if(is_fraud = 1) AS pos, count(*) AS n FROM scores GROUP BY champion), p AS (SELECT s, row_number() OVER w AS r, sum(pos) OVER w AS sp, sum(n) OVER w AS sn, pos, n FROM c WINDOW w AS (ORDER BY s)),
+    m AS (SELECT j.r AS j, k.r AS k, (k.sp - j.sp + j.pos) / (k.sn - j.sn + j.n) AS a FROM p AS j JOIN p AS k ON k.r >= j.r), l AS (SELECT j, k, min(a) OVER (PARTITION BY j ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS a FROM m), f AS (SELECT k AS r, max(a) AS v FROM l GROUP BY k)
+    SELECT transaction_id, round(v, 6) AS calibrated FROM scores JOIN p ON s = champion JOIN f USING (r)""",
+    "scores",
+)
+def d23_isotonic(spark, sf_dir):
+    """Isotonic values of the champion's score, against the greatest of least means."""
+    scores = load(spark, sf_dir, "scores")
+    blocks = written(calibration.isotonic_blocks(scores, "champion", "is_fraud"), "blocks")
+    return rounded(calibration.calibrate_by_blocks(scores, blocks, "champion").select("transaction_id", "calibrated"))
+
+
+@query(
+    """WITH f AS (SELECT avg(amount) AS ma, stddev_samp(amount) AS sa, avg(merchant_id) AS mm, stddev_samp(merchant_id) AS sm, sign(corr(amount, merchant_id)) AS r FROM txn WHERE is_fraud = 0 AND amount IS NOT NULL),
+    z AS (SELECT transaction_id, (amount - ma) / sa AS a, (merchant_id - mm) / sm AS m, r FROM txn, f)
+    SELECT transaction_id, round(abs(a - r * m) / sqrt(2 * (a * a + m * m)), 5) AS anomaly_score FROM z""",
+    "txn",
+)
+def d22_residuals(spark, sf_dir):
+    """What the first component of two features leaves; of two, it is the diagonal along or against their correlation."""
+    txn = load(spark, sf_dir, "txn")
+    stored = written(calibration.fit_components(txn.filter("is_fraud = 0"), ["amount", "merchant_id"], 1), "components")
+    return rounded(calibration.residual_score(txn, stored).select("transaction_id", "anomaly_score"), 5)
