@@ -380,3 +380,27 @@ def d22_residuals(spark, sf_dir):
     txn = load(spark, sf_dir, "txn")
     stored = written(calibration.fit_components(txn.filter("is_fraud = 0"), ["amount", "merchant_id"], 1), "components")
     return rounded(calibration.residual_score(txn, stored).select("transaction_id", "anomaly_score"), 5)
+
+
+@query("SELECT transaction_id, device_id >= 10 AS flagged FROM txn WHERE device_id IS NOT NULL AND event_date >= DATE '2024-01-16'", "txn")
+def d21_trained_scores(spark, sf_dir):
+    """A classifier trained on the first half of the days, stored, read back and applied to the second; the label follows from one feature, so its flags are known."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    rows = load(spark, sf_dir, "txn").filter("device_id is not null").select("transaction_id", "event_date", (F.col("device_id") >= 10).cast("int").alias("y"), array_to_vector(F.array(F.col("device_id").cast("double"), F.col("merchant_id").cast("double"))).alias("features"))
+    early, late = rows.filter("event_date < DATE '2024-01-16'"), rows.filter("event_date >= DATE '2024-01-16'")
+    fitted, _, passed = model.train_classifier(early, "y", depths=(2,), trees=3)
+    folder = _folder(spark, "classifier")
+    fitted.write().save(folder)
+    scored = model.batch_score(late, GBTClassificationModel.load(folder))
+    return scored.select("transaction_id", (F.lit(bool(passed)) & (F.col("score") >= 0.5)).alias("flagged"))
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def s18_created_table(spark, sf_dir):
+    """A typed empty table that is made once, though asked for twice, and takes all orders by its own types."""
+    name = f"orders_{uuid.uuid4().hex}"
+    for _ in range(2):
+        files.create_table(spark, name, "o_orderkey bigint, o_totalprice double, o_orderstatus string", ["o_orderstatus"])
+    load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.insertInto(name)
+    return spark.table(name)
