@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, text_of
+from .common import lean, text_of, written
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Byte by byte: A-Z to a-z, other ASCII beside digits and a-z to space.
@@ -30,6 +30,8 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97
 BLOCK_CHARS = 1_000_000
 #: Characters of texts that a task holds while it goes through several automata.
 HELD_CHARS = 32_000_000
+#: Characters of items that the driver and a task hold at once, about.
+HELD_ITEMS = 64_000_000
 
 _TAGS = count()
 _AUTOMATA: dict[tuple[int, int], object] = {}
@@ -89,17 +91,13 @@ def _merged(found: list[tuple[int, int, list[str]]]) -> tuple[list[tuple[int, in
 
 
 class Scanner:
-    """The blocks of a benchmark's items, and the scan of texts against them all."""
+    """Blocks of a benchmark's items, and the scan of texts against them all."""
 
-    def __init__(self, benchmark: DataFrame, window: int, block_chars: int):
-        items = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
-        size = items.agg(F.sum(F.char_length("text")).alias("n")).first()["n"] or 0
-        parts = -(-size // block_chars) or 1
+    def __init__(self, items: DataFrame, blocks: range, window: int):
         self.window, self.tag = window, next(_TAGS)
-        block = F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int")
-        self.blocks: list[list[tuple[str, str]]] = [[] for _ in range(parts)]
-        for r in items.select(block.alias("block"), "item", "text").toLocalIterator():
-            self.blocks[r["block"]].append((r["item"], r["text"]))
+        self.blocks: list[list[tuple[str, str]]] = [[] for _ in blocks]
+        for r in items.filter(F.col("block").between(blocks[0], blocks[-1])).toLocalIterator():
+            self.blocks[r["block"] - blocks[0]].append((r["item"], r["text"]))
 
     def scan(self, texts: list[str]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
         """(number of words, hit word ranges, item ids) of each text."""
@@ -130,6 +128,16 @@ class Scanner:
             yield from scanned()
 
 
+def scanners(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[Scanner]:
+    """One scanner, or several in turn that hold about ``HELD_ITEMS`` characters of items each, whatever the benchmark's size."""
+    items = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
+    size = items.agg(F.sum(F.char_length("text")).alias("n")).first()["n"] or 0
+    parts = -(-size // block_chars) or 1
+    dealt, step = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int")), max(1, HELD_ITEMS // block_chars)
+    for first in range(0, parts, step):
+        yield Scanner(dealt, range(first, min(parts, first + step)), window)
+
+
 HITS = "n_words long, hits array<struct<first:bigint,last:bigint>>, items array<string>"
 
 
@@ -144,30 +152,50 @@ def scan_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     measured first. Items of up to ``block_chars`` characters are one automaton;
     more are cut by item into blocks, and a task builds one automaton after the
     other for every ``HELD_CHARS`` characters of its texts, so memory is bounded
-    and texts aren't written again.
+    and texts aren't written again. Of a benchmark beyond ``HELD_ITEMS``
+    characters the driver and the tasks hold one part after the other, and rows with
+    the hits so far are written between them.
     """
-    held = documents.sparkSession.sparkContext.broadcast(Scanner(benchmark, window, block_chars))
+    found = documents.select(id_col, "text")
+    for scanner in scanners(benchmark, window, block_chars):
+        found = _scanned(written(found, "scanned") if "hits" in found.columns else found, scanner, id_col)
+    return found
+
+
+def _scanned(rows: DataFrame, scanner: Scanner, id_col: str) -> DataFrame:
+    """``rows`` with the hits of a scanner, and those that they have already."""
+    held, more = rows.sparkSession.sparkContext.broadcast(scanner), "hits" in rows.columns
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, scans in held.value.batches(batches):
+            if more:
+                old = zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist(), strict=True)
+                scans = [(n, *_merged([(a, b, ids) for a, b in ranges] + [(h["first"], h["last"], had) for h in hits])) for (n, ranges, ids), (hits, had) in zip(scans, old, strict=True)]
+                batch = batch.select([id_col, "text"])
             hits = [[{"first": a, "last": b} for a, b in ranges] for _, ranges, _ in scans]
             kinds = (pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string()))
             own = [pa.array(c, t) for c, t in zip(([n for n, *_ in scans], hits, [x[2] for x in scans]), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "n_words", "hits", "items"])
 
-    read = documents.select(id_col, "text")
-    return read.mapInArrow(lean(scanned), f"`{id_col}` {read.schema[id_col].dataType.simpleString()}, text string, {HITS}")
+    return rows.mapInArrow(lean(scanned), f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, text string, {HITS}")
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``documents`` without a hit, with all their columns; see ``scan_benchmark``."""
-    held = documents.sparkSession.sparkContext.broadcast(Scanner(benchmark, window, block_chars))
+    kept = documents
+    for k, scanner in enumerate(scanners(benchmark, window, block_chars)):
+        kept = _kept(written(kept, "kept") if k else kept, scanner)
+    return kept
+
+
+def _kept(rows: DataFrame, scanner: Scanner) -> DataFrame:
+    held = rows.sparkSession.sparkContext.broadcast(scanner)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, scans in held.value.batches(batches):
             yield batch.filter(pa.array([not ranges for _, ranges, _ in scans], pa.bool_()))
 
-    return documents.mapInArrow(lean(kept), documents.schema)
+    return rows.mapInArrow(lean(kept), rows.schema)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id") -> DataFrame:
