@@ -294,27 +294,30 @@ def _full_sets(documents: DataFrame, id_col: str, size: int, ids: DataFrame) ->
 
 
 def _salted(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """``pairs`` with ``salt``, which deals those of one leader into parts of about ``BLOCK`` texts or ``BLOCK_SHINGLES`` shingles."""
+    """``pairs`` with ``salt``, which deals those of one leader into parts of about ``BLOCK`` texts or ``BLOCK_SHINGLES`` shingles; null where one part takes them."""
     sizes = full.select(F.col("id").alias("b"), F.col("mark").alias("mb"), "n")
     keyed = pairs.withColumn("key", F.concat_ws(":", "a", "ma"))
     led = keyed.join(sizes, ["b", "mb"]).groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
     parts = F.ceil(F.greatest(F.col("k") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     large = written(led.select("key", "k", parts.alias("parts")).filter("parts > 1"), "leaders")
-    dealt = keyed if large.isEmpty() else join_hot(keyed, large, "key", "k", pairs.count(), "left")
-    parts = F.coalesce("parts", F.lit(1)) if "parts" in dealt.columns else F.lit(1)
-    return dealt.select("a", "ma", "b", "mb", F.pmod(F.xxhash64("b", "mb"), parts).cast("int").alias("salt"))
+    if large.isEmpty():
+        return pairs.withColumn("salt", F.lit(None).cast("int"))
+    return join_hot(keyed, large, "key", "k", pairs.count(), "left").select("a", "ma", "b", "mb", F.pmod(F.xxhash64("b", "mb"), F.col("parts")).cast("int").alias("salt"))
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """(src, dst) of the pairs (a, ma, b, mb) whose full sets reach the threshold.
 
-    A leader's set goes to each part of its pairs, so a leader of many texts is
-    spread over tasks and no set is shuffled with every pair.
+    The pairs of a leader of many texts are dealt into parts, and its set goes to
+    each part; the set of another goes to its few pairs.
     """
     salted = written(_salted(pairs, full), "salted")
-    one = salted.select("a", "ma", "salt").distinct().join(full.select(F.col("id").alias("a"), F.col("mark").alias("ma"), F.col("values").alias("va")), ["a", "ma"])
-    two = full.select(F.col("id").alias("b"), F.col("mark").alias("mb"), F.col("values").alias("vb"))
-    joined = salted.join(two, ["b", "mb"]).join(one, ["a", "ma", "salt"])
+    one, two = (full.select(F.col("id").alias(x), F.col("mark").alias(f"m{x}"), F.col("values").alias(f"v{x}")) for x in "ab")
+    joined = salted.filter("salt is null").join(one, ["a", "ma"]).join(two, ["b", "mb"]).select("a", "b", "va", "vb")
+    many = salted.filter("salt is not null")
+    if not many.isEmpty():
+        sent = many.select("a", "ma", "salt").distinct().join(one, ["a", "ma"])
+        joined = joined.unionByName(many.join(two, ["b", "mb"]).join(sent, ["a", "ma", "salt"]).select("a", "b", "va", "vb"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +329,7 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["src", "dst"])
 
-    return joined.select("a", "b", "va", "vb").mapInArrow(lean(compared), "src long, dst long")
+    return joined.mapInArrow(lean(compared), "src long, dst long")
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", size: int = 4, percent: int = 80, trees: int = 12, levels: int = 8, leaf: int = BLOCK) -> DataFrame:

@@ -54,7 +54,7 @@ def test_leader_of_many_texts_and_an_id_of_many_texts(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "_salted", lambda *a: salts.append(real(*a)) or salts[-1])
     got = {(r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(df).collect()}
     assert got == {(i, 0) for i in range(200)} | {(1000, 1000), (2000, 1000), (3000, 3000)}
-    parts = [r["count"] for r in salts[0].groupBy("a", "ma", "salt").count().collect()]
+    parts = [r["count"] for r in salts[0].filter("a = 0").groupBy("a", "ma", "salt").count().collect()]
     assert sum(parts) >= 199 and max(parts) < 60
 
 
