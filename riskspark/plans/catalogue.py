@@ -638,17 +638,26 @@ def w10_case_queue(spark, sf_dir):
 # Table maintenance ----------------------------------------------------------
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, -o_totalprice FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0")
+def _half_new(key: str):
+    """Even keys as they are, odd ones negated: a batch of all rows, of which half have known keys."""
+    return F.when(F.col(key) % 2 == 0, F.col(key)).otherwise(-F.col(key)).alias(key)
+
+
+_HALF_NEW = "CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -o_orderkey END"
+
+
+@query(f"WITH b AS (SELECT {_HALF_NEW} AS o_orderkey, -o_totalprice AS o_totalprice FROM orders) SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT * FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)")
 def m1_insert_new(spark, sf_dir):
+    """All orders take in a batch of all orders, each twice, half of them of known keys."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    source = orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", -F.col("o_totalprice"))
-    return merge.insert_new(orders.filter("o_orderkey % 3 = 0"), source.unionByName(source), ["o_orderkey"])
+    batch = orders.select(_half_new("o_orderkey"), (-F.col("o_totalprice")).alias("o_totalprice"))
+    return merge.insert_new(orders, batch.unionByName(batch), ["o_orderkey"])
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0 UNION ALL SELECT o_orderkey, -o_totalprice FROM orders WHERE o_orderkey % 2 = 0")
+@query(f"WITH b AS (SELECT {_HALF_NEW} AS o_orderkey, -o_totalprice AS o_totalprice FROM orders) SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b) UNION ALL SELECT * FROM b")
 def m2_upsert_all(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return merge.upsert_all(orders.filter("o_orderkey % 3 = 0"), orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", -F.col("o_totalprice")), ["o_orderkey"])
+    return merge.upsert_all(orders, orders.select(_half_new("o_orderkey"), (-F.col("o_totalprice")).alias("o_totalprice")), ["o_orderkey"])
 
 
 _EARLY = _RECONCILED.replace("DATE '2024-02-05'", "DATE '2024-01-31'")
@@ -666,27 +675,29 @@ def m3_upsert_if(spark, sf_dir):
     return merge.upsert_if(early, late, ["transaction_id"], merge.labels_condition())
 
 
-_DECIDED = "SELECT transaction_id, champion AS p, CASE WHEN champion < 0.1 THEN 'approve' WHEN champion < 0.6 THEN 'step_up' WHEN champion <= 0.9 THEN 'manual_review' ELSE 'block' END AS a FROM scores"
+_ACTION = "CASE WHEN p < 0.1 THEN 'approve' WHEN p < 0.6 THEN 'step_up' WHEN p <= 0.9 THEN 'manual_review' ELSE 'block' END"
+#: d: the batch's decisions, of known transactions where even; c: the cases after it.
+_CASES = f"""d AS (SELECT CASE WHEN transaction_id % 2 = 0 THEN transaction_id ELSE -transaction_id END AS transaction_id, champion AS p FROM scores),
+    c AS (SELECT s.transaction_id, coalesce(d.p, s.challenger) AS p, 'IN_REVIEW' AS case_status FROM scores s LEFT JOIN d USING (transaction_id)
+    UNION ALL SELECT d.transaction_id, d.p, 'OPEN' FROM d ANTI JOIN scores USING (transaction_id))"""
 
 
 def _cases(spark, sf_dir):
+    """A case of each transaction, in review, and a batch of a decision of each, half of them of new transactions."""
     scored = load(spark, sf_dir, "scores")
-    shape = lambda p: scored.select("transaction_id", F.col(p).alias("fraud_probability"), F.lit("full").alias("scoring_mode"), scalars.classify_decision(F.col(p)).alias("decision_action"), F.lit("v1").alias("model_version"))
+    shape = lambda key, p: scored.select(key, F.col(p).alias("fraud_probability"), F.lit("full").alias("scoring_mode"), scalars.classify_decision(F.col(p)).alias("decision_action"), F.lit("v1").alias("model_version"))
     at = as_of()
-    known = shape("challenger").filter("transaction_id % 4 = 0").select("*", F.sha2(F.concat(F.lit("case:"), F.col("transaction_id").cast("string")), 256).alias("case_id"), F.lit("IN_REVIEW").alias("case_status"), at.alias("created_at"), at.alias("updated_at"))
-    return merge.upsert_cases(known, shape("champion").filter("transaction_id % 2 = 0"), at)
+    known = shape("transaction_id", "challenger").select("*", F.sha2(F.concat(F.lit("case:"), F.col("transaction_id").cast("string")), 256).alias("case_id"), F.lit("IN_REVIEW").alias("case_status"), at.alias("created_at"), at.alias("updated_at"))
+    return merge.upsert_cases(known, shape(_half_new("transaction_id"), "champion"), at)
 
 
-@query(
-    f"WITH d AS ({_DECIDED}) SELECT transaction_id, p AS fraud_probability, a AS decision_action, CASE WHEN transaction_id % 4 = 0 THEN 'IN_REVIEW' ELSE 'OPEN' END AS case_status FROM d WHERE transaction_id % 2 = 0",
-    "scores",
-)
+@query(f"WITH {_CASES} SELECT transaction_id, p AS fraud_probability, {_ACTION} AS decision_action, case_status FROM c", "scores")
 def m6_upsert_cases(spark, sf_dir):
     return _cases(spark, sf_dir)[0].select("transaction_id", "fraud_probability", "decision_action", "case_status")
 
 
 @query(
-    f"WITH d AS ({_DECIDED}) SELECT sha256('case:' || transaction_id) AS case_id, CASE WHEN transaction_id % 4 = 0 THEN 'MODEL_SCORE_UPDATED' ELSE 'CASE_CREATED' END AS event_type, a AS decision_action, 'SYSTEM' AS created_by FROM d WHERE transaction_id % 2 = 0",
+    f"WITH {_CASES} SELECT sha256('case:' || transaction_id) AS case_id, CASE WHEN transaction_id IN (SELECT transaction_id FROM scores) THEN 'MODEL_SCORE_UPDATED' ELSE 'CASE_CREATED' END AS event_type, {_ACTION} AS decision_action, 'SYSTEM' AS created_by FROM d",
     "scores",
 )
 def m6_case_events(spark, sf_dir):
@@ -694,18 +705,20 @@ def m6_case_events(spark, sf_dir):
 
 
 def _statuses(spark, sf_dir):
+    """An update for each case, of which four fifths name a case that doesn't exist."""
     cases = _cases(spark, sf_dir)[0]
-    updates = cases.filter("transaction_id % 10 = 0").select("case_id", F.lit("CLOSED").alias("new_status"), F.lit("ana").alias("updated_by"), F.lit("ok").alias("notes"))
+    named = F.when(F.col("transaction_id") % 5 == 0, F.col("case_id")).otherwise(F.concat(F.lit("no "), F.col("case_id")))
+    updates = cases.select(named.alias("case_id"), F.lit("CLOSED").alias("new_status"), F.lit("ana").alias("updated_by"), F.lit("ok").alias("notes"))
     return merge.update_case_status(cases, updates, as_of())
 
 
-@query("SELECT transaction_id, CASE WHEN transaction_id % 10 = 0 THEN 'CLOSED' WHEN transaction_id % 4 = 0 THEN 'IN_REVIEW' ELSE 'OPEN' END AS case_status FROM scores WHERE transaction_id % 2 = 0", "scores")
+@query(f"WITH {_CASES} SELECT transaction_id, CASE WHEN transaction_id % 5 = 0 THEN 'CLOSED' ELSE case_status END AS case_status FROM c", "scores")
 def m7_update_case_status(spark, sf_dir):
     return _statuses(spark, sf_dir)[0].select("transaction_id", "case_status")
 
 
 @query(
-    """SELECT sha256('case:' || transaction_id) AS case_id, CASE WHEN transaction_id % 10 = 0 THEN 'CLOSED' ELSE 'OPEN' END AS status FROM scores WHERE transaction_id % 2 = 0 AND (transaction_id % 4 <> 0 OR transaction_id % 10 = 0)""",
+    f"WITH {_CASES} SELECT sha256('case:' || transaction_id) AS case_id, CASE WHEN transaction_id % 5 = 0 THEN 'CLOSED' ELSE 'OPEN' END AS status FROM c WHERE case_status = 'OPEN' OR transaction_id % 5 = 0",
     "scores",
 )
 def m8_case_state(spark, sf_dir):
@@ -1095,15 +1108,15 @@ def t10_routed_decisions(spark, sf_dir):
 
 
 @query(
-    f"""WITH q AS (SELECT transaction_id AS case_id, event_time_ts AS asked FROM txn WHERE transaction_id % 3 = 0), a AS (SELECT transaction_id AS case_id, event_time_ts + INTERVAL 1 MINUTE * (transaction_id % 8) AS told, CASE WHEN transaction_id % 2 = 0 THEN 'VERIFIED' ELSE 'FAILED' END AS s FROM txn WHERE transaction_id % 9 = 0)
+    f"""WITH q AS (SELECT transaction_id AS case_id, event_time_ts AS asked FROM txn), a AS (SELECT CASE WHEN transaction_id % 3 = 0 THEN transaction_id ELSE -transaction_id END AS case_id, event_time_ts + INTERVAL 1 MINUTE * (transaction_id % 8) AS told, CASE WHEN transaction_id % 2 = 0 THEN 'VERIFIED' ELSE 'FAILED' END AS s FROM txn)
     SELECT q.case_id, CASE WHEN told <= asked + INTERVAL 5 MINUTE THEN s ELSE 'ESCALATED' END AS status, CASE WHEN told <= asked + INTERVAL 5 MINUTE THEN told ELSE asked + INTERVAL 5 MINUTE END AS at FROM q LEFT JOIN a USING (case_id) WHERE TIMESTAMP '{AS_OF}' > asked""",
     "txn",
 )
 def t11_step_up_timeouts(spark, sf_dir):
     txn = load(spark, sf_dir, "txn").withColumn("case_id", F.col("transaction_id"))
     told = F.col("event_time_ts") + F.make_dt_interval(mins=(F.col("transaction_id") % 8).cast("int"))
-    answers = txn.filter("case_id % 9 = 0").select("case_id", F.when(F.col("case_id") % 2 == 0, "VERIFIED").otherwise("FAILED").alias("status"), told.alias("answered_at"))
-    return events.step_up_timeouts(txn.filter("case_id % 3 = 0").select("case_id", F.col("event_time_ts").alias("requested_at")), answers, as_of())
+    answers = txn.select(F.when(F.col("case_id") % 3 == 0, F.col("case_id")).otherwise(-F.col("case_id")).alias("case_id"), F.when(F.col("case_id") % 2 == 0, "VERIFIED").otherwise("FAILED").alias("status"), told.alias("answered_at"))
+    return events.step_up_timeouts(txn.select("case_id", F.col("event_time_ts").alias("requested_at")), answers, as_of())
 
 
 @query("WITH l AS (SELECT DISTINCT channel FROM txn WHERE event_date < DATE '2024-01-16' AND channel IS NOT NULL AND channel <> 'signup'), r AS (SELECT channel, row_number() OVER (ORDER BY channel) - 1 AS i FROM l) SELECT transaction_id, CAST(coalesce(i, -1) AS INT) AS channel_idx FROM txn LEFT JOIN r USING (channel)", "txn")
@@ -1141,10 +1154,12 @@ def d18_selected_columns(spark, sf_dir):
     return df.agg(*[F.count_if(F.col(c).isNotNull()).alias(c) for c in names]).select(F.lit(len(names)).cast("long").alias("kept"))
 
 
-@query("WITH d AS (SELECT transaction_id AS case_id, champion FROM scores WHERE transaction_id % 7 = 0) SELECT case_id, 't' || case_id AS transaction_id, champion FROM d WHERE case_id % 2 = 0", "scores")
+@query("SELECT transaction_id AS case_id, 't' || transaction_id AS transaction_id, champion FROM scores WHERE transaction_id % 7 = 0", "scores")
 def j8_cases_with_decisions(spark, sf_dir):
-    decisions = load(spark, sf_dir, "scores").filter("transaction_id % 7 = 0").select(F.col("transaction_id").alias("case_id"), "champion")
-    cases = load(spark, sf_dir, "scores").filter("transaction_id % 2 = 0").select(F.col("transaction_id").alias("case_id"), F.concat(F.lit("t"), F.col("transaction_id").cast("string")).alias("transaction_id"))
+    """A decision of each transaction, of which six sevenths name a case that doesn't exist."""
+    scored, key = load(spark, sf_dir, "scores"), F.col("transaction_id")
+    decisions = scored.select(F.when(key % 7 == 0, key).otherwise(-key).alias("case_id"), "champion")
+    cases = scored.select(key.alias("case_id"), F.concat(F.lit("t"), key.cast("string")).alias("transaction_id"))
     return joins.cases_with_decisions(decisions, cases).select("case_id", "transaction_id", "champion")
 
 

@@ -28,7 +28,7 @@ SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS order_id,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
-IDENTITY = "SELECT o_orderkey AS order_id, o_orderstatus AS device_type FROM orders WHERE o_custkey % 4 = 0"
+IDENTITY = "SELECT CASE WHEN o_custkey % 4 = 0 THEN o_orderkey ELSE -o_orderkey END AS order_id, o_orderstatus AS device_type FROM orders"
 
 FEATURES = "SELECT card_id, event_time_ts AS feature_timestamp, amount AS feature_value, transaction_id AS feature_id FROM txn WHERE channel = 'purchase'"
 

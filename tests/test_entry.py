@@ -13,7 +13,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["a1_daily_fraud_summary", "j2_asof_join", "g3_gate_report", "d5_drift_report", "r4_connected_components", "w3_chronological_split"])
+@pytest.mark.parametrize("name", ["a1_daily_fraud_summary", "j2_asof_join", "g3_gate_report", "d5_drift_report", "r4_connected_components", "w3_chronological_split", "m1_insert_new", "m2_upsert_all", "m6_upsert_cases", "m6_case_events", "m7_update_case_status", "m8_case_state", "j1_identity_join", "j8_cases_with_decisions", "j10_key_coverage", "e6_presence_lift", "t11_step_up_timeouts"])
 def test_queries_agree_with_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = "/root/testdata/sf0.001"
