@@ -51,17 +51,23 @@ def previous_rows(df: DataFrame, group: str, order: str, columns: Sequence[str],
 
 def quantiles_of(summed: DataFrame, group: str, value: str, running: str, points: Sequence[float]) -> DataFrame:
     """(group, quantiles): interpolated quantiles from distinct values with the running sum of their counts."""
+    return quantiles_and(summed, group, value, running, points).filter("quantiles is not null")
+
+
+def quantiles_and(summed: DataFrame, group: str, value: str, running: str, points: Sequence[float], **also: Column) -> DataFrame:
+    """(group, quantiles, ``also``...) with further aggregates of the same read; quantiles are null where all counts are 0."""
     total = summed.groupBy(group).agg(F.max(running).alias("__n"))
     at = [F.lit(p) * (F.col("__n") - 1) for p in points]
     joined = summed.join(F.broadcast(total), group)
     ends = joined.groupBy(group).agg(
-        F.max("__n").alias("__n"), *[F.min(F.when(F.col(running) > F.floor(x), F.col(value))).alias(f"__low{i}") for i, x in enumerate(at)], *[F.min(F.when(F.col(running) > F.ceil(x), F.col(value))).alias(f"__high{i}") for i, x in enumerate(at)]
-    )
+        F.max("__n").alias("__n"), *[F.min(F.when(F.col(running) > F.floor(x), F.col(value))).alias(f"__low{i}") for i, x in enumerate(at)], *[F.min(F.when(F.col(running) > F.ceil(x), F.col(value))).alias(f"__high{i}") for i, x in enumerate(at)],
+        *[column.alias(name) for name, column in also.items()],
+    )
     out = []
     for i, x in enumerate(at):
         low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
         out.append(F.when(low == high, low).otherwise((F.ceil(x) - x) * low + (x - F.floor(x)) * high))
-    return ends.filter("__n > 0").select(group, F.array(*out).alias("quantiles"))
+    return ends.select(group, F.when(F.col("__n") > 0, F.array(*out)).alias("quantiles"), *also)
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, points: Sequence[float]) -> DataFrame:

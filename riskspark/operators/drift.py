@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import written
-from ..functions.ranges import quantiles_of, running_sums
+from ..functions.ranges import quantiles_and, running_sums
 
 EPS = 1e-6
 #: Size of the sketch of a feature's values, which is some 100 KB at most, with ranks within 0.13 %; quantiles read from it.
@@ -30,11 +30,6 @@ def long_form(reference: DataFrame, current: DataFrame, features: Sequence[str])
     return parts[0].unionByName(parts[1]).filter("value is not null and not isnan(value)")
 
 
-def sizes(values: DataFrame) -> DataFrame:
-    """(feature, ref_n, cur_n)."""
-    return values.groupBy("feature").agg(F.count_if(F.col("side") == "ref").alias("ref_n"), F.count_if(F.col("side") == "cur").alias("cur_n"))
-
-
 def value_counts(values: DataFrame) -> DataFrame:
     """(feature, value, r, c, r_running, c_running): how often each value stands on each side, and up to it.
 
@@ -44,62 +39,75 @@ def value_counts(values: DataFrame) -> DataFrame:
     return running_sums(counts, "feature", "value", {"r": "r_running", "c": "c_running"})
 
 
-def sizes_from(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("feature").agg(F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
+def measures_from(counts: DataFrame, buckets: int = 10, bins: int = 50) -> DataFrame:
+    """(feature, ref_n, cur_n, psi, ks_stat, ks_p_value, jsd) of the counts; measures are null where a side has no value.
 
+    The counts are read three times, whatever is measured: for the number of
+    reference values, for edges and spans, and to deal values to buckets and bins. Both rise with
+    the value, so a feature has less than ``buckets + bins`` cells, of which its measures are made.
+    """
+    edges = quantiles_and(
+        counts, "feature", "value", "r_running", [i / buckets for i in range(1, buckets)],
+        ref_n=F.sum("r"), cur_n=F.sum("c"), lo=F.min("value"), hi=F.max("value"),
+    )
+    flat = F.col("hi") == F.col("lo")
+    edges = edges.withColumns({"lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))})
+    width = (F.col("hi") - F.col("lo")) / bins
+    # Inner edges at or below the value, so bucket 0 is below the first one.
+    bucket = F.size(F.filter("quantiles", lambda e: e <= F.col("value")))
+    at = F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("lo")) / width)).cast("int")
+    gap = F.abs(F.try_divide("r_running", "ref_n") - F.try_divide("c_running", "cur_n"))
+    of_feature = ["feature", "ref_n", "cur_n", "lo", "hi"]
+    cells = counts.join(F.broadcast(edges), "feature").groupBy(*of_feature, bucket.alias("bucket"), at.alias("bin")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.max(gap).alias("gap"))
+    whole = cells.groupBy(*of_feature).agg(F.collect_list(F.struct("bucket", "bin", "r", "c")).alias("cells"), F.max("gap").alias("gap")).withColumn("there", (F.col("ref_n") > 0) & (F.col("cur_n") > 0))
+    few = lambda n: (F.col("ref_n") < n) | (F.col("cur_n") < n)
+    measure = lambda few, value: F.when(F.col("there"), F.when(few, 0.0).otherwise(value))
+    en = (F.col("ref_n") * F.col("cur_n")) / (F.col("ref_n") + F.col("cur_n"))
+    found = {"psi": measure(few(buckets), _psi(buckets)), "ks_stat": F.when(F.col("there"), F.col("gap")), "jsd": measure(few(bins), _jsd(bins, width))}
+    return whole.withColumns(found).select("feature", "ref_n", "cur_n", "psi", "ks_stat", ks_p_value(F.col("ks_stat"), en).alias("ks_p_value"), "jsd")
 
-def psi(values: DataFrame, buckets: int = 10) -> DataFrame:
-    """(feature, psi): reference quantiles as edges, open ends; 0 with fewer values than buckets on a side.
 
-    Buckets are closed below and open above; equal edges leave empty buckets,
-    which the smoothing covers.
-    """
-    return psi_from(value_counts(values), buckets)
+def _sums(part: str, n: int, count: str) -> Column:
+    """The cells' counts summed up in each of the ``n`` buckets or bins, 0 where it has no cell."""
+    mine = lambda i: F.filter("cells", lambda cell: cell[part] == i)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.aggregate(mine(i), F.lit(0.0), lambda total, cell: total + cell[count]))
 
 
-def psi_from(counts: DataFrame, buckets: int = 10) -> DataFrame:
-    edges = quantiles_of(counts, "feature", "value", "r_running", [i / buckets for i in range(1, buckets)])
-    # Inner edges at or below the value, so bucket 0 is below the first one.
-    bucket = F.size(F.filter("quantiles", lambda e: e <= F.col("value")))
-    dealt = counts.join(F.broadcast(edges), "feature").groupBy("feature", bucket.alias("b")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    total = sizes_from(dealt)
-    every = total.select("*", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("b")).join(dealt, ["feature", "b"], "left").fillna(0, ["r", "c"])
-    e, a = F.col("r") / F.col("ref_n") + EPS, F.col("c") / F.col("cur_n") + EPS
-    few = (F.max("ref_n") < buckets) | (F.max("cur_n") < buckets)
-    return every.filter("ref_n > 0 and cur_n > 0").groupBy("feature").agg(F.when(few, 0.0).otherwise(F.sum((a - e) * F.log(a / e))).alias("psi"))
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
 
-def jsd(values: DataFrame, bins: int = 50) -> DataFrame:
-    """(feature, jsd): squared Jensen-Shannon distance, in nats, over equal bins of both sides' range."""
-    return jsd_from(value_counts(values), bins)
+def _psi(buckets: int) -> Column:
+    """Reference quantiles as edges, open ends; equal edges leave empty buckets, which the smoothing covers."""
+    share = lambda count, n: F.transform(_sums("bucket", buckets, count), lambda x: x / F.col(n) + EPS)
+    return _total(F.zip_with(share("r", "ref_n"), share("c", "cur_n"), lambda e, a: (a - e) * F.log(a / e)))
 
 
-def jsd_from(counts: DataFrame, bins: int = 50) -> DataFrame:
-    spans = counts.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("r").alias("ref_n"), F.sum("c").alias("cur_n"))
-    flat = F.col("hi") == F.col("lo")
-    spans = spans.select("feature", "ref_n", "cur_n", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"), F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    at = F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("lo")) / width)).cast("int")
-    dealt = counts.join(F.broadcast(spans.select("feature", "lo", "hi")), "feature").groupBy("feature", at.alias("b")).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    every = spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b")).join(dealt, ["feature", "b"], "left").fillna(0, ["r", "c"]).filter("ref_n > 0 and cur_n > 0")
-    dense = every.select("feature", "ref_n", "cur_n", (F.col("r") / (F.col("ref_n") * width) + 1e-10).alias("p"), (F.col("c") / (F.col("cur_n") * width) + 1e-10).alias("q"))
-    whole = Window.partitionBy("feature")
-    shares = dense.select("feature", "ref_n", "cur_n", (F.col("p") / F.sum("p").over(whole)).alias("p"), (F.col("q") / F.sum("q").over(whole)).alias("q"))
-    m = (F.col("p") + F.col("q")) / 2
-    few = (F.max("ref_n") < bins) | (F.max("cur_n") < bins)
-    return shares.groupBy("feature").agg(F.when(few, 0.0).otherwise(F.greatest(F.lit(0.0), F.sum(F.col("p") * F.log(F.col("p") / m) + F.col("q") * F.log(F.col("q") / m)) / 2)).alias("jsd"))
+def _jsd(bins: int, width: Column) -> Column:
+    """Over equal bins of both sides' range, of smoothed densities scaled to 1."""
 
+    def shares(count: str, n: str) -> Column:
+        # The counts add up to the side's size, so the densities before smoothing to 1 / width.
+        total = 1 / width + bins * 1e-10
+        return F.transform(_sums("bin", bins, count), lambda x: (x / (F.col(n) * width) + 1e-10) / total)
+
+    term = lambda p, q: p * F.log(2 * p / (p + q)) + q * F.log(2 * q / (p + q))
+    return F.greatest(F.lit(0.0), _total(F.zip_with(shares("r", "ref_n"), shares("c", "cur_n"), term)) / 2)
 
-def ks_2samp(values: DataFrame) -> DataFrame:
-    """(feature, ks_stat, ks_p_value): the largest gap of the distributions, and its asymptotic p."""
-    return ks_from(value_counts(values))
 
+def psi(values: DataFrame, buckets: int = 10) -> DataFrame:
+    """(feature, psi): 0 with fewer values than buckets on a side. Buckets are closed below and open above."""
+    return measures_from(value_counts(values), buckets=buckets).filter("psi is not null").select("feature", "psi")
 
-def ks_from(counts: DataFrame) -> DataFrame:
-    gaps = counts.join(F.broadcast(sizes_from(counts)), "feature").filter("ref_n > 0 and cur_n > 0")
-    gap = F.abs(F.col("r_running") / F.col("ref_n") - F.col("c_running") / F.col("cur_n"))
-    found = gaps.groupBy("feature").agg(F.max(gap).alias("ks_stat"), F.max((F.col("ref_n") * F.col("cur_n")) / (F.col("ref_n") + F.col("cur_n"))).alias("en"))
-    return found.select("feature", "ks_stat", ks_p_value(F.col("ks_stat"), F.col("en")).alias("ks_p_value"))
+
+def jsd(values: DataFrame, bins: int = 50) -> DataFrame:
+    """(feature, jsd): squared Jensen-Shannon distance, in nats; 0 with fewer values than bins on a side."""
+    return measures_from(value_counts(values), bins=bins).filter("jsd is not null").select("feature", "jsd")
+
+
+def ks_2samp(values: DataFrame) -> DataFrame:
+    """(feature, ks_stat, ks_p_value): the largest gap of the distributions, and its asymptotic p."""
+    return measures_from(value_counts(values)).filter("ks_stat is not null").select("feature", "ks_stat", "ks_p_value")
 
 
 def ks_p_value(stat: Column, en: Column) -> Column:
@@ -150,12 +158,9 @@ def sketched_counts(sketches: DataFrame, points: int = SKETCH_POINTS) -> DataFra
 
 def sketched_measures(sketches: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
     """(feature, ref_n, cur_n, psi, ks_stat, ks_p_value, jsd) of one sketch a feature and side."""
-    counts = written(sketched_counts(sketches, points), "sketched")
+    measures = measures_from(written(sketched_counts(sketches, points), "sketched"))
     n = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).alias(f"{s}_n")
-    found = sketches.groupBy("feature").agg(n("ref"), n("cur"))
-    for part in (psi_from(counts), ks_from(counts), jsd_from(counts)):
-        found = found.join(part, "feature", "left")
-    return found
+    return sketches.groupBy("feature").agg(n("ref"), n("cur")).join(measures.drop("ref_n", "cur_n"), "feature", "left")
 
 
 def feature_drift_report(reference: DataFrame, current: DataFrame, features: Sequence[str], least: int = 30, sketch: int | None = None) -> DataFrame:
@@ -168,12 +173,8 @@ def feature_drift_report(reference: DataFrame, current: DataFrame, features: Seq
     """
     values = long_form(reference, current, features)
     asked = reference.sparkSession.createDataFrame([(f, f in reference.columns and f in current.columns) for f in features], "feature string, there boolean")
-    if sketch:
-        joined = asked.join(sketched_measures(written(side_sketches(values, sketch), "sketches")), "feature", "left")
-    else:
-        joined, counts = asked, value_counts(values)
-        for part in (sizes_from(counts), psi_from(counts), ks_from(counts), jsd_from(counts)):
-            joined = joined.join(part, "feature", "left")
+    measures = sketched_measures(written(side_sketches(values, sketch), "sketches")) if sketch else measures_from(value_counts(values))
+    joined = asked.join(measures, "feature", "left")
     joined = joined.fillna(0, ["ref_n", "cur_n"])
     few = (F.col("ref_n") < least) | (F.col("cur_n") < least)
 
@@ -203,8 +204,8 @@ def prediction_drift(baseline: DataFrame, current: DataFrame, score: str, psi_th
     values = long_form(baseline, current, [score])
     side = lambda s: F.when(F.col("side") == s, F.col("value"))
     stats = values.groupBy("feature").agg(*[f(side(s)).alias(f"{s}_{k}") for s in ("ref", "cur") for k, f in (("mean", F.avg), ("std", F.stddev_pop))])
-    counts = value_counts(values)
-    joined = psi_from(counts).join(jsd_from(counts), "feature").join(stats, "feature").drop("feature")
+    measures = measures_from(value_counts(values)).filter("psi is not null").select("feature", "psi", "jsd")
+    joined = measures.join(stats, "feature").drop("feature")
     return joined.withColumn("drifted", (F.col("psi") >= psi_threshold) | (F.col("jsd") >= jsd_threshold))
 
 
