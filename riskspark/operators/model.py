@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -110,12 +112,35 @@ def shadow_scores(df: DataFrame, champion, challenger, versions: tuple[str, str]
     return both.select(key, "champion_score", "challenger_score", (F.col("challenger_score") - F.col("champion_score")).alias("delta"), ((F.col("champion_score") < 0) | (F.col("challenger_score") < 0)).alias("is_error"), F.lit(versions[0]).alias("champion_version"), F.lit(versions[1]).alias("challenger_version"))
 
 
-def top_risk_factors(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], k: int = 5, output: str = "top_risk_factors") -> DataFrame:
-    """The k features that raise a linear model's score most: coefficient times distance from the mean, positive ones only."""
+#: Digits that integers of a type have, and that a decimal can hold.
+INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+DECIMAL_DIGITS = 38
+
 
-    def part(c: str, w: float) -> Column:
-        return F.struct((F.lit(float(w)) * (F.coalesce(F.col(c).cast("double"), F.lit(float(means[c]))) - F.lit(float(means[c])))).alias("contribution"), F.lit(c).alias("feature"))
+def _contribution(c: str, kind: str, weight: float, mean: float) -> Column:
+    """``weight * (c - mean)``, null as the mean; of integers in exact decimals where they fit, as doubles would part equal contributions."""
+    if kind in INTEGER_DIGITS and math.isfinite(weight) and math.isfinite(mean):
+        w, m = (Decimal(format(Decimal(repr(float(x))), "f")) for x in (weight, mean))
+        (_, dw, sw), (_, dm, sm) = w.as_tuple(), m.as_tuple()
+        if max(INTEGER_DIGITS[kind], len(dm) + sm, 1) + 1 - sm + max(len(dw), -sw) + 1 <= DECIMAL_DIGITS:
+            return (F.lit(w) * (F.coalesce(F.col(c).cast(f"decimal({INTEGER_DIGITS[kind]},0)"), F.lit(m)) - F.lit(m))).cast("double")
+    return F.lit(float(weight)) * (F.coalesce(F.col(c).cast("double"), F.lit(float(mean))) - F.lit(float(mean)))
 
-    parts = F.array(*[part(c, w) for c, w in coefficients.items()])
-    ordered = F.reverse(F.array_sort(F.filter(parts, lambda x: x["contribution"] > 0)))
-    return df.withColumn(output, F.slice(ordered, 1, k))
+
+def top_risk_factors(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], k: int = 5, output: str = "top_risk_factors") -> DataFrame:
+    """The k features that raise a linear model's score most: coefficient times distance from the mean, positive ones only.
+
+    Equal contributions come in the order of the coefficients. Of more than k, those are held that
+    one pass in that order leaves: a feature goes in for the first of the least held if it exceeds that.
+    """
+    kinds = [kind for _, kind in df.select(*coefficients).dtypes]
+    parts = F.array(*[F.struct(_contribution(c, kinds[i], w, means[c]).alias("contribution"), F.lit(i).alias("place"), F.lit(c).alias("feature")) for i, (c, w) in enumerate(coefficients.items())])
+
+    def held(best: Column, x: Column) -> Column:
+        least = F.array_min(best)
+        return F.when(F.size(best) < k, F.concat(best, F.array(x))).when(x["contribution"] > least["contribution"], F.concat(F.filter(best, lambda y: y["place"] != least["place"]), F.array(x))).otherwise(best)
+
+    none = F.array().cast("array<struct<contribution:double,place:int,feature:string>>")
+    best = F.aggregate(F.filter(parts, lambda x: x["contribution"] > 0), none, held)
+    ordered = F.reverse(F.array_sort(F.transform(best, lambda x: F.struct(x["contribution"], (-x["place"]).alias("place"), x["feature"]))))
+    return df.withColumn(output, F.transform(ordered, lambda x: F.struct(x["contribution"].alias("contribution"), x["feature"].alias("feature"))))
