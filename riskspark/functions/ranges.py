@@ -8,6 +8,7 @@ one task whole, as it would under a window over the group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,3 +75,47 @@ def exact_quantiles(df: DataFrame, group: str, value: str, points: Sequence[floa
     """(group, quantiles): interpolated quantiles of ``value``, nulls left out, by counts of the distinct values."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("__count"))
     return quantiles_of(running_sums(counts, group, value, {"__count": "__running"}), group, value, "__running", points)
+
+
+def _edge(df: DataFrame, column: str, n: int) -> tuple[DataFrame, int, int]:
+    """(the value, as a table of one row, that the n-th row has by ``column``, nulls first; rows of smaller values; rows of that value)."""
+    counts = df.groupBy(F.col(column).alias("__edge")).agg(F.count("*").alias("__count"))
+    dealt = written(counts.repartitionByRange(F.asc_nulls_first("__edge")).withColumn(PART, F.spark_partition_id()), "ranges")
+    before = 0
+    for part, rows in dealt.groupBy(PART).agg(F.sum("__count")).orderBy(PART).collect():
+        if before + rows >= n:
+            break
+        before += rows
+    within = Window.partitionBy(PART).orderBy(F.asc_nulls_first("__edge"))
+    reached = dealt.filter(F.col(PART) == part).withColumn("__upto", before + F.sum("__count").over(within)).filter(F.col("__upto") >= n)
+    edge = written(reached.orderBy(F.asc_nulls_first("__edge")).limit(1), "edges", 1)
+    count, upto = edge.select("__count", "__upto").first()
+    return edge.select("__edge"), upto - count, count
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The columns ``order`` of the n first rows by them, ascending and nulls first; of all rows where there aren't more.
+
+    The values of the first column are counted, dealt by ranges and their counts
+    summed, up to the value that the n-th row has. Rows of smaller values are taken;
+    those of that value go by the next column, unless all are wanted. Rows equal in
+    all columns are made anew, as many as are wanted. So no task holds n rows, and
+    the driver gets one row a range.
+    """
+    rows = df.select(*order)
+    if n < 1:
+        return rows.limit(0)
+    total = rows.count()
+    left, smaller, edges = min(n, total), [], []
+    for c in order:
+        if left == total:
+            break
+        edge, before, total = _edge(rows, c, left)
+        left -= before
+        edges.append(F.broadcast(edge.withColumnRenamed("__edge", c)))
+        beside = rows.crossJoin(F.broadcast(edge))
+        smaller.append(beside.filter(F.struct(F.col(c).alias("v")) < F.struct(F.col("__edge").alias("v"))).drop("__edge"))
+        rows = beside.filter(F.col(c).eqNullSafe(F.col("__edge"))).drop("__edge")
+    if left < total:
+        rows = reduce(DataFrame.crossJoin, edges, df.sparkSession.range(left)).select(*order)
+    return reduce(DataFrame.unionByName, smaller, rows)

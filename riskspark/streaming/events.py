@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.lineage import written
+from ..functions.ranges import first_rows
 from ..functions.scalars import classify_decision
 from ..operators.clean import REQUIRED
 from ..operators.graph import build_entity_graph
@@ -216,7 +218,10 @@ def replay_capture(spark: SparkSession, path: str, fmt: str = "json", schema: T.
 
 
 def replay_quarantine(quarantine: DataFrame, n: int, parser: Callable[[DataFrame], DataFrame] = parse_events) -> tuple[DataFrame, DataFrame]:
-    """(events, still failing) of the n oldest dead letters; a replayed message is marked by its id ``replay_<hash>``."""
-    oldest = quarantine.orderBy("_quarantined_at", "_raw").limit(n)
+    """(events, still failing) of the n oldest dead letters; a replayed message is marked by its id ``replay_<hash>``.
+
+    The letters are written to the shared folder, so that both outputs are of the same ones.
+    """
+    oldest = written(first_rows(quarantine, ["_quarantined_at", "_raw"], n), "letters")
     good, bad = split_parse_failures(parser(oldest.select(F.col("_raw").alias("value"))))
     return good.withColumn("replay_id", F.concat(F.lit("replay_"), F.sha2("_raw", 256))), bad

@@ -51,3 +51,14 @@ def test_components_with_hot_vertices(spark, monkeypatch):
     edges = [(0, i) for i in range(1, 150)] + [(1000 + i, 149) for i in range(150)] + [(5000 + i, 5001 + i) for i in range(9)]
     found = {x.id: x.component for x in graph.connected_components(spark.createDataFrame(edges, "src int, dst int")).collect()}
     assert found == {**{x: 0 for e in edges if e[1] < 5000 for x in e}, **{5000 + i: 5000 for i in range(10)}}
+
+
+def test_first_rows_are_those_of_a_sort(spark):
+    r = random.Random(6)
+    rows = [(r.choice([None, 1, 2, 2, 3]), r.choice([None, "a", "b", "b", "c", "{}"])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "at int, raw string").repartition(5)
+    order = lambda x: tuple((v is not None, v or 0 if i == 0 else v or "") for i, v in enumerate(x))
+    for n in (0, 1, 7, 12, 29, 30, 31, 47, 59, 60, 3_000_000_000):
+        found = ranges.first_rows(df, ["at", "raw"], n)
+        assert sorted(map(tuple, found.collect()), key=order) == sorted(rows, key=order)[:n]
+    assert ranges.first_rows(df.limit(0), ["at", "raw"], 5).count() == 0

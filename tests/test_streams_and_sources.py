@@ -24,6 +24,16 @@ def test_parse_and_quarantine(spark):
     assert [r.transaction_id for r in again.collect()] == ["w"] and still.count() == 3
 
 
+def test_replayed_dead_letters_pass_no_single_task(spark):
+    letters = [(T0 + dt.timedelta(hours=i // 40), "junk" if i % 3 else event(transaction_id=f"t{i:03}")) for i in range(100)]
+    dead = spark.createDataFrame(letters, "_quarantined_at timestamp_ntz, _raw string").repartition(4)
+    for n in (0, 1, 25, 40, 50, 70, 100, 3_000_000_000):
+        good, bad = events.replay_quarantine(dead, n)
+        want = [raw for _, raw in sorted(letters)[:n]]
+        assert sorted(r._raw for r in good.collect()) == sorted(x for x in want if x != "junk") and bad.count() == want.count("junk")
+        assert "TakeOrdered" not in good._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bronze_stream_and_replay(spark, tmp_path):
     landing, bronze, dead = (str(tmp_path / x) for x in ("in", "bronze", "dead"))
     spark.createDataFrame([(event(),), ("junk",), (event(transaction_id="u"),)], "value string").write.parquet(landing)
